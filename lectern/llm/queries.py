@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import packing, splitting, tokens, vocabulary
+from lectern.llm import lookalikes, packing, sentences, splitting, tokens, vocabulary
 from lectern.operators.versions import current_rows
 from lectern.sources.tables import table
 
@@ -33,6 +33,21 @@ def p1_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _counts(spark, sf_dir).select("term", "n", "records", "mark")
 
 
+# 2: texts that look the same
+def _canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.lit("documents").alias("src"), F.col("doc_id").alias("id"), "text")
+    hot = table(spark, sf_dir, "hotwords").select(F.lit("hotwords").alias("src"), F.col("hot_id").alias("id"), "text")
+    return lookalikes.canonical_texts(docs.unionByName(hot))
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookalikes.same_looking_pairs(_canonical(spark, sf_dir), "canonical", "src", "id", "text")
+
+
+def p2_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _canonical(spark, sf_dir).select("src", "id", "canonical")
+
+
 # 3: oversized texts
 def _pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("item"), "text")
@@ -61,4 +76,12 @@ def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(sizes, "doc_id", "n_tokens", CAPACITY)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p3_found, p3_pieces, p6_ids, p7_containers)}
+# 8: sentence units
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    outline = table(spark, sf_dir, "course_outline")
+    titles = outline.select("title").union(outline.select("node_title"))
+    model = sentences.train(table(spark, sf_dir, "sentences"), "lesson", "sent_no", "text", titles)
+    return sentences.sentence_units(table(spark, sf_dir, "documents"), "doc_id", "text", model)
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p2_found, p2_texts, p3_found, p3_pieces, p6_ids, p7_containers, p8_found)}
