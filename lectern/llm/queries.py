@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import lookalikes, packing, sentences, splitting, tokens, vocabulary
+from lectern.llm import lookalikes, neighbours, packing, sentences, splitting, tokens, vocabulary
 from lectern.operators.versions import current_rows
 from lectern.sources.tables import table
 
@@ -65,6 +65,24 @@ def p3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pieces(spark, sf_dir).select("src", "item", "piece_no", "begin_pos", "end_pos", "piece")
 
 
+# 5: nearest neighbours
+def _near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = [
+        neighbours.nearest_neighbours(table(spark, sf_dir, coll).select("id", "ingested_at", "dense"), "id", "ingested_at", "dense").withColumn("coll", F.lit(coll))
+        for coll in ("course_subs", "course_outline")
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    close = _near(spark, sf_dir).filter(F.col("cosine") >= 0.80)
+    return close.select("coll", F.least("key", "near").alias("id_a"), F.greatest("key", "near").alias("id_b")).distinct()
+
+
+def p5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _near(spark, sf_dir).select("coll", F.col("key").alias("id"), "rank", F.col("near").alias("near_id"), "cosine")
+
+
 # 6: token ids
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_ids(table(spark, sf_dir, "documents"), "doc_id", "text")
@@ -84,4 +102,4 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.sentence_units(table(spark, sf_dir, "documents"), "doc_id", "text", model)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p2_found, p2_texts, p3_found, p3_pieces, p6_ids, p7_containers, p8_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p2_found, p2_texts, p3_found, p3_pieces, p5_found, p5_neighbours, p6_ids, p7_containers, p8_found)}
