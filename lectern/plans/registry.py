@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lectern.plans import intervals
+from lectern.plans import intervals, manifest
 
-_MODULES = [intervals]
+_MODULES = [intervals, manifest]
 
 
 def queries() -> dict:
