@@ -46,7 +46,9 @@ _THAI = regex.compile(r"[฀-๿]")
 _HAN = regex.compile(r"[一-鿿]")
 _MARKED = regex.compile(r"[。、…]|[,;](?!\d)|[!?](?![a-z0-9])")
 _WORD = regex.compile(r"[\p{L}\p{M}\p{N}]+")
-_LAST = regex.compile(r"[\p{L}\p{M}\p{N}_]+$")
+_LAST = regex.compile(r"(?r)[\p{L}\p{M}\p{N}_]+")
+_LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+_DIGITS = regex.compile(r"\p{N}+")
 _CLOSER = {")": "(", "]": "[", "”": "“", "»": "«", "」": "「", "』": "『", "》": "《", "】": "【", "’": "‘"}
 _OPENERS = frozenset(_CLOSER.values()) | {"„"}
 #: A quote or bracket further apart than this is not taken as a pair.
@@ -150,17 +152,22 @@ def candidates(line: str, unmarked: bool, pairs: list[tuple[int, int]]) -> list[
     return out
 
 
+def _last_word(s: str):
+    """The word at the very end of ``s``: matched backwards from there."""
+    return _LAST.match(s)
+
+
 def features(line: str, cand: tuple[int, int, str], pairs: list[tuple[int, int]], last_cut: int) -> list[str]:
     at, cut, how = cand
     mark = line[at:cut] if how == "m" else " "
     gap = cut < len(line) and line[cut] == " "
     rest = line[cut : cut + 60].lstrip()
     left = line[max(0, at - 40) : at].rstrip()
-    prev = _LAST.search(left)
+    prev = _last_word(left)
     pw = prev[0] if prev else left[-1:]
     before = left[: prev.start()] if prev else left[:-1]
     glue = before[-1:]
-    prev2 = _LAST.search(before.rstrip(" ."))
+    prev2 = _last_word(before.rstrip(" ."))
     p2 = prev2[0] if prev2 else ""
     nw = _WORD.match(rest)
     nw = nw[0] if nw else rest[:1]
@@ -180,7 +187,7 @@ def features(line: str, cand: tuple[int, int, str], pairs: list[tuple[int, int]]
         ctx = "^" if not lead or o <= last_cut + 1 else kind(lead[-1:])
         if lead[-1:] and lead[-1] in ".!?。…؟।":
             ctx = "^"
-    token = regex.sub(r"\p{L}[\p{L}\p{M}]*", "a", regex.sub(r"\p{N}+", "0", left[left.rfind(" ") + 1 :]))[-8:]
+    token = _LETTERS.sub("a", _DIGITS.sub("0", left[left.rfind(" ") + 1 :]))[-8:]
     f = [
         "b", f"w{token}{bare[:1]}", f"wn{token}{bare[:1]}{gap}{nk}", f"m{bare[:3]}", f"mc{bare[:2]}{closes}", f"g{gap}{nk}", f"mg{bare[:1]}{gap}{nk}", f"n{head}", f"mn{bare[:1]}{gap}{head}",
         f"ns{ns}", f"ps{ps}", f"mps{bare[:1]}{ps}{gap}{nk}", f"pn{pk}{bare[:1]}{gap}{nk}", f"psns{ps}{bare[:1]}{gap}{ns}", f"a{nk}{after}",
@@ -205,6 +212,7 @@ class Model:
     def __init__(self, weights: np.ndarray):
         self.w = weights
         self.at: dict[str, int] = {}
+        self.weight: dict[str, float] = {}
 
     def slot(self, f: str) -> int:
         i = self.at.get(f)
@@ -215,8 +223,15 @@ class Model:
         return i
 
     def score(self, feats: list[str]) -> float:
-        w, slot = self.w, self.slot
-        return float(sum(w[slot(f)] for f in feats))
+        total, weight = 0.0, self.weight
+        for f in feats:
+            x = weight.get(f)
+            if x is None:
+                if len(weight) > 500_000:
+                    weight.clear()
+                x = weight[f] = float(self.w[zlib.crc32(f.encode("utf-8", "surrogatepass")) % SLOTS])
+            total += x
+        return total
 
 
 def is_unmarked(folded: str) -> bool:
@@ -332,8 +347,7 @@ def fit(sentences: list[str], titles: list[str] = (), rounds: int = 60, l2: floa
         g = np.bincount(i, (p - y)[r], SLOTS) + l2 * len(y) * w
         g2 += g * g
         w -= 0.5 * g / np.sqrt(g2)
-    model.w = w.astype(np.float32)
-    return model
+    return Model(w.astype(np.float32))
 
 
 def train(sentences: DataFrame, group: str, order: str, text: str, titles: DataFrame | None = None, max_rows: int = 40_000, block: int = 64) -> Model:
