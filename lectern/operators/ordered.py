@@ -43,6 +43,14 @@ def with_last(df: DataFrame, keys: list[str], order: list[str], bucket: Column,
     )
 
 
+#: Stands for "no next step" among row numbers.
+END = -(1 << 62)
+
+
+def _same(value, n: int) -> pd.Series:
+    return pd.Series([value] * n, dtype=object)
+
+
 def chain(
     df: DataFrame, group: str, no: str, payload: list[str], step: Callable[[pd.DataFrame], np.ndarray], block: int = 4096, margin: int = 1024
 ) -> DataFrame:
@@ -75,24 +83,24 @@ def chain(
             raise ValueError(f"a step reaches more than {margin} rows ahead")
         leave = np.empty(mine, np.int64)
         for i in range(mine - 1, -1, -1):
-            leave[i] = -1 if nxt[i] < 0 else nos[nxt[i]] if nxt[i] >= mine else leave[nxt[i]]
-        to = np.where(nxt[:mine] < 0, -1, nos[np.maximum(nxt[:mine], 0)])
-        return pd.DataFrame({"grp": pdf["grp"][:mine], "block": b, "no": nos[:mine], "nxt": to, "leave": leave})
+            leave[i] = END if nxt[i] < 0 else nos[nxt[i]] if nxt[i] >= mine else leave[nxt[i]]
+        to = np.where(nxt[:mine] < 0, END, nos[np.maximum(nxt[:mine], 0)])
+        return pd.DataFrame({"grp": _same(pdf["grp"].iloc[0], mine), "block": b, "no": nos[:mine], "nxt": to, "leave": leave})
 
     steps = staged(
         spread.groupBy("grp", "block").applyInPandas(contract, f"grp {kind}, block long, no long, nxt long, leave long"), "chain-steps"
     )
     first = steps.groupBy("grp").agg(F.min("no").alias("no"))
-    entered = steps.filter("leave >= 0").select("grp", F.col("leave").alias("no")).unionByName(first).distinct()
+    entered = steps.filter(F.col("leave") != END).select("grp", F.col("leave").alias("no")).unionByName(first).distinct()
     small = entered.join(steps.withColumnRenamed("grp", "_g").withColumnRenamed("no", "_n"), F.col("grp").eqNullSafe(F.col("_g")) & (F.col("no") == F.col("_n"))).select("grp", "no", "leave", "block")
 
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
         leave, blocks = dict(zip(pdf["no"], pdf["leave"])), dict(zip(pdf["no"], pdf["block"]))
         at, out = int(pdf["no"].min()), []
-        while at >= 0:
+        while at != END:
             out.append(at)
             at = int(leave[at])
-        return pd.DataFrame({"grp": [pdf["grp"].iloc[0]] * len(out), "block": [blocks[i] for i in out], "entry": out})
+        return pd.DataFrame({"grp": _same(pdf["grp"].iloc[0], len(out)), "block": [blocks[i] for i in out], "entry": out})
 
     doors = small.groupBy("grp").applyInPandas(walk, f"grp {kind}, block long, entry long")
 
@@ -102,9 +110,9 @@ def chain(
         while at in nxt:
             out.append((at, nxt[at]))
             at = nxt[at]
-        return pd.DataFrame({"grp": [pdf["grp"].iloc[0]] * len(out), "start": [a for a, _ in out], "stop": [b for _, b in out]})
+        return pd.DataFrame({"grp": _same(pdf["grp"].iloc[0], len(out)), "start": [a for a, _ in out], "stop": [b for _, b in out]})
 
     d = doors.withColumnRenamed("grp", "_g").withColumnRenamed("block", "_b")
     inside = steps.join(d, F.col("grp").eqNullSafe(F.col("_g")) & (F.col("block") == F.col("_b"))).select("grp", "block", "no", "nxt", "entry")
     out = inside.groupBy("grp", "block").applyInPandas(expand, f"grp {kind}, start long, stop long")
-    return out.select(F.col("grp").alias(group), "start", F.when(F.col("stop") >= 0, F.col("stop")).alias("stop"))
+    return out.select(F.col("grp").alias(group), "start", F.when(F.col("stop") != END, F.col("stop")).alias("stop"))

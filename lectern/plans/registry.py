@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lectern.plans import intervals, manifest
+from lectern.plans import intervals, manifest, search, terms, transcripts
 
-_MODULES = [intervals, manifest]
+_MODULES = [intervals, manifest, transcripts, terms, search]
 
 
 def queries() -> dict:

@@ -24,7 +24,7 @@ def jumps():
 def test_chain(spark, block):
     rng = random.Random(2)
     data = {g: [rng.randint(0, 2) for _ in range(n)] for g, n in (("a", 100), ("b", 1), ("c", 33), (None, 9))}
-    df = spark.createDataFrame([(g, i, w) for g, ws in data.items() for i, w in enumerate(ws)], "g string, no long, w int")
+    df = spark.createDataFrame([(g, i - 1, w) for g, ws in data.items() for i, w in enumerate(ws)], "g string, no long, w int")
     got = {}
     for r in chain(df, "g", "no", ["w"], jumps(), block=block, margin=4).collect():
         got.setdefault(r["g"], []).append((r["start"], r["stop"]))
@@ -33,7 +33,7 @@ def test_chain(spark, block):
         while at is not None:
             to = at + 1 + ws[at]
             to = to if to < len(ws) else None
-            want.append((at, to))
+            want.append((at - 1, None if to is None else to - 1))
             at = to
         assert sorted(got[g], key=lambda x: x[0]) == want
 
