@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions.text import terms_of
-from lectern.session import staged
+from lectern.operators.ordered import numbered
 
 
 def term_frequencies(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -26,10 +26,5 @@ def weights(tf: DataFrame, idfs: DataFrame) -> DataFrame:
 
 
 def vocabulary(idfs: DataFrame) -> DataFrame:
-    """``idfs`` and idx: place of the term in code-point order, by range partitions (no single task sorts all)."""
-    # sorted by ranges, each partition counted, then numbered from its offset
-    s = staged(idfs.repartitionByRange("term").sortWithinPartitions("term").withColumn("_p", F.spark_partition_id()), "vocabulary")
-    counts = s.groupBy("_p").agg(F.count("*").alias("n"))
-    before = counts.select("_p", F.coalesce(F.sum("n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    w = Window.partitionBy("_p").orderBy("term")
-    return s.withColumn("_n", F.row_number().over(w)).join(before, "_p").withColumn("idx", (F.col("_n") + F.col("_before") - 1).cast("long")).drop("_p", "_n", "_before")
+    """``idfs`` and idx: place of the term in code-point order."""
+    return numbered(idfs, ["term"], "idx", 0)

@@ -43,6 +43,20 @@ def with_last(df: DataFrame, keys: list[str], order: list[str], bucket: Column,
     )
 
 
+def numbered(df: DataFrame, order: list[str | Column], name: str, first: int = 1) -> DataFrame:
+    """Add ``name``: each row's place in the order of the whole table.
+
+    Rows are sorted by ranges, counted per range and numbered from its offset,
+    so no task sorts the whole table. The order should be total.
+    """
+    part = staged(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()), "numbered")
+    counts = part.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = counts.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    w = Window.partitionBy("_part").orderBy(*order)
+    at = F.col("_row") + F.col("_before") + (first - 1)
+    return part.withColumn("_row", F.row_number().over(w)).join(before, "_part").withColumn(name, at.cast("long")).drop("_part", "_row", "_before")
+
+
 #: Stands for "no next step" among row numbers.
 END = -(1 << 62)
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import re
+
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions import text as X
@@ -11,6 +14,8 @@ from lectern.functions import text as X
 NOISE = ("the and for with from this that www http https com cn org pdf png jpg import def class return self print true false none int float str "
          "list dict len range input output step case new api ai llm it of in on to is as by we ok no yes vs etc eg ie").split()
 
+_WORDLIKE = re.compile(r"[A-Za-z0-9 .+\-]+")
+
 
 def extract_terms(df: DataFrame, text: str, source: str, noise: list[str] = NOISE) -> DataFrame:
     """term, source, freq: counts of term candidates by lower-cased form. Null texts give none."""
@@ -84,33 +89,51 @@ def term_hits(df: DataFrame, key: str, text: str, terms: DataFrame, term: str) -
     return hits.filter("hits > 0").select(F.col("key").alias(key), F.col("term").alias(term), "hits")
 
 
-def apply_corrections(df: DataFrame, keys: list[str], text: str, pairs: DataFrame, max_pairs: int = 100_000) -> DataFrame:
+def correct(text: str, pairs: list[tuple[str, str]]) -> str:
+    """All pairs in order; each sees what those before it left."""
+    for wrong, right in pairs:
+        if wrong in text:
+            if _WORDLIKE.fullmatch(wrong):
+                text = re.sub(rf"(?<![A-Za-z0-9]){re.escape(wrong)}(?![A-Za-z0-9])", lambda _, r=right: r, text)
+            else:
+                text = text.replace(wrong, right)
+    return text
+
+
+def apply_corrections(df: DataFrame, keys: list[str], text: str, pairs: DataFrame, max_pairs: int = 20_000) -> DataFrame:
     """``df`` and corrected: correction pairs (wrong, right) applied in order of length, longest first.
 
-    Each replacement sees what those before it left; equal lengths go by
-    ``wrong``, then ``right``. A text's own pairs are found by equality of a
-    word or of two characters; pairs that an earlier replacement could bring
-    in are taken along. Null texts stay null.
+    A ``wrong`` of ASCII letters, digits, blank, dot, plus and hyphen is
+    replaced only where no ASCII letter or digit touches it; any other by plain
+    replacement; a single ideograph, an empty side ``wrong`` and pairs that
+    change nothing never. ``right`` is literal. Each replacement sees what
+    those before it left; equal lengths go by ``wrong``, then ``right``.
+
+    Texts in which a pair occurs are found by equality of a word or of two
+    characters; only they are looked at with all pairs. ``keys`` identify a
+    row. Null texts stay null. More than ``max_pairs`` pairs are refused.
     """
     p = pairs.select("wrong", "right").filter("length(wrong) > 0 and right is not null and wrong <> right").distinct()
     p = p.filter(~F.col("wrong").rlike("^[一-鿿]$"))
-    # pairs whose wrong side occurs in another pair's right side come with that pair
-    follow = (
-        p.select(F.col("right").alias("r"), F.col("wrong").alias("w0"), F.explode(F.array_distinct(F.concat(_keys(F.col("right"), True), _keys(F.col("right"), False)))).alias("k"))
-        .join(_pair_keys(p), "k")
-        .filter(F.expr("contains(r, wrong)"))
-        .select("w0", F.struct("wrong", "right").alias("p2"))
-        .groupBy("w0").agg(F.collect_set("p2").alias("more"))
-    )
+    rows = p.limit(max_pairs + 1).collect()
+    if len(rows) > max_pairs:
+        raise ValueError(f"more than {max_pairs} correction pairs")
+    todo = sorted(((r["wrong"], r["right"]) for r in rows), key=lambda x: (-len(x[0]), *x))
+
+    @F.pandas_udf("string")
+    def corrected(t: pd.Series) -> pd.Series:
+        return t.map(lambda x: correct(x, todo))
+
     src = df.select(*keys, F.col(text).alias("_text")).filter(F.col("_text").isNotNull())
+    lone = p.filter(F.length("wrong") == 1).select(F.col("wrong").alias("k"))
     k = src.withColumn("k", F.explode(F.array_distinct(F.concat(_keys(F.col("_text"), True), _keys(F.col("_text"), False)))))
-    hit = k.join(_pair_keys(p), "k").filter(F.expr("contains(_text, wrong)"))
-    hit = hit.join(follow, F.col("wrong") == F.col("w0"), "left").select(*keys, F.explode(F.concat(F.array(F.struct("wrong", "right")), F.coalesce("more", F.array()))).alias("p"))
-    order = F.array_sort(F.transform(F.collect_set("p"), lambda x: F.struct((-F.length(x["wrong"])).alias("n"), x["wrong"].alias("wrong"), x["right"].alias("right"))))
-    todo = hit.groupBy(*keys).agg(order.alias("_todo"))
-    out = df.join(todo, keys, "left")
-    fixed = F.aggregate("_todo", F.col(text), lambda acc, x: X.replace_guarded(acc, x["wrong"], x["right"]))
-    return out.withColumn("corrected", F.when(F.col("_todo").isNull(), F.col(text)).otherwise(fixed)).drop("_todo")
+    hit = k.join(_pair_keys(p), "k").filter(F.expr("contains(_text, wrong)")).select(*keys)
+    if not lone.isEmpty():
+        # a single character that isn't a word of its own is looked up as such
+        one = src.withColumn("k", F.explode(F.array_distinct(F.split("_text", ""))))
+        hit = hit.unionByName(one.join(lone, "k", "left_semi").select(*keys))
+    fixed = src.join(hit.distinct(), keys, "left_semi").select(*keys, corrected("_text").alias("_fixed"))
+    return df.join(fixed, keys, "left").withColumn("corrected", F.coalesce("_fixed", text)).drop("_fixed")
 
 
 def _pair_keys(p: DataFrame) -> DataFrame:

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lectern.functions import ids, times
+from lectern.functions import ids
 from lectern.operators import matching
 from lectern.operators.catalog import catalogue as catalogue_rows
 from lectern.operators.catalog import cohorts, rollup
+from lectern.operators.ordered import numbered
 from lectern.operators.versions import current_rows
 from lectern.sources.tables import table
 
@@ -33,13 +34,8 @@ def cohort_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def manifest_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of each recording by time, nulls last, then file."""
     m = table(spark, sf_dir, "manifest").distinct()
-    # places within a day; days are few, so their sizes are summed apart
-    day = F.coalesce(F.date_format("platform_time", "yyyy-MM-dd"), F.lit("9999"))
-    d = m.select("lesson", "file", "platform_time", day.alias("day"))
-    sizes = d.groupBy("day").count()
-    before = sizes.select("day", F.coalesce(F.sum("count").over(Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    w = Window.partitionBy("day").orderBy("platform_time", "file", "lesson")
-    return d.withColumn("n", F.row_number().over(w)).join(before, "day").select("lesson", "file", (F.col("n") + F.col("before")).cast("long").alias("place"))
+    order = [F.col("platform_time").asc_nulls_last(), F.col("file"), F.col("lesson")]
+    return numbered(m.select("lesson", "file", "platform_time"), order, "place").drop("platform_time")
 
 
 def point_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lectern.plans import intervals, manifest, search, terms, transcripts
+from lectern.plans import intervals, manifest, search, state, terms, transcripts
 
-_MODULES = [intervals, manifest, transcripts, terms, search]
+_MODULES = [intervals, manifest, transcripts, terms, search, state]
 
 
 def queries() -> dict:
