@@ -204,6 +204,9 @@ def _round(pool, capacity, r, groups, islands, epochs, population, generations,
     w = Window.partitionBy("grp").orderBy("_id")  # a group's items are numbered by id
     numbered = pool.withColumn("grp", F.pmod(F.xxhash64("_id", F.lit(r)), F.lit(groups))).withColumn("no", F.row_number().over(w) - 1)
     work = numbered.select("grp", "no", "size", F.explode(F.sequence(F.lit(0), F.lit(islands - 1))).alias("island"))
+    # a group is long work on few bytes: as many tasks as there are islands, within bounds
+    tasks = int(max(1, min(2000, groups * islands)))
+    work = work.repartition(tasks, "grp", "island")
     came = pool.sparkSession.createDataFrame([], "grp long, island int, `from` int, n_bins int, fitness double, labels array<int>")
     best = None
     for e in range(epochs):
@@ -214,7 +217,7 @@ def _round(pool, capacity, r, groups, islands, epochs, population, generations,
             came = best.select(*cols, F.explode(F.array_distinct(both)).alias("island")).select("grp", "island", "from", "n_bins", "fitness", "labels")
         best = (
             work.groupBy("grp", "island")
-            .cogroup(came.groupBy("grp", "island"))
+            .cogroup(came.repartition(tasks, "grp", "island").groupBy("grp", "island"))
             .applyInPandas(_epoch(capacity, population, generations, r * epochs + e, elites), _ELITE)
         )
         if e < epochs - 1:
