@@ -120,6 +120,7 @@ _VOCAB = pa.schema([("skel", pa.string()), ("token", pa.string()), ("script", pa
 
 
 def _vocab_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tokens of texts in plain form, counted per task."""
     known, n = _Known(), Counter()
 
     def flush():
@@ -131,42 +132,38 @@ def _vocab_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for t in b.column(0).to_pylist():
             if t:
-                n.update(TOKEN.findall(plain_form(t)))
+                n.update(TOKEN.findall(t))
         if len(n) > 200_000:
             yield flush()
     yield flush()
 
 
-_BASE = pa.schema(
-    [
-        ("rid", pa.int64()),
-        ("base", pa.string()),
-        ("script", pa.string()),
-        ("doubtful", pa.list_(pa.struct([("pos", pa.int32()), ("skel", pa.string()), ("len", pa.int32())]))),
-    ]
-)
+_DOUBTFUL = pa.list_(pa.struct([("pos", pa.int32()), ("skel", pa.string()), ("len", pa.int32())]))
 
 
-def _base_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known = _Known()
-    for b in batches:
-        bases, main, doubtful = [], [], []
-        for t in b.column(1).to_pylist():
-            if t is None:
-                bases.append(None), main.append(None), doubtful.append([])
-                continue
-            base = plain_form(t)
-            at, votes = [], Counter()
-            for m in TOKEN.finditer(base):
-                skel, _, doubt, sure = known(m[0])
-                if sure:
-                    votes[sure] += 1
-                if doubt:
-                    at.append({"pos": m.start(), "skel": skel, "len": len(m[0])})
-            bases.append(base)
-            main.append(min(votes, key=lambda s: (-votes[s], s)) if votes else "")
-            doubtful.append(at)
-        yield pa.record_batch([b.column(0), pa.array(bases, pa.string()), pa.array(main, pa.string()), pa.array(doubtful, _BASE.field("doubtful").type)], schema=_BASE)
+def _base_part(at: int, names: list[str]):
+    """All columns, and the plain form of the text in column ``at``, its dominant script, its doubtful tokens."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _Known()
+        for b in batches:
+            bases, main, doubtful = [], [], []
+            for t in b.column(at).to_pylist():
+                base = None if t is None else plain_form(t)
+                found, votes = [], Counter()
+                for m in TOKEN.finditer(base or ""):
+                    skel, _, doubt, sure = known(m[0])
+                    if sure:
+                        votes[sure] += 1
+                    if doubt:
+                        found.append({"pos": m.start(), "skel": skel, "len": len(m[0])})
+                bases.append(base)
+                main.append(min(votes, key=lambda s: (-votes[s], s)) if votes else "")
+                doubtful.append(found)
+            more = [pa.array(bases, pa.string()), pa.array(main, pa.string()), pa.array(doubtful, _DOUBTFUL)]
+            yield pa.RecordBatch.from_arrays([*b.columns, *more], names=names)
+
+    return run
 
 
 def repaired(base: str, script: str, edits: list[dict]) -> str:
@@ -181,19 +178,21 @@ def repaired(base: str, script: str, edits: list[dict]) -> str:
     return "".join([*out, base[at:]])
 
 
-def _repair_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        rid, base, script, edits = (b.column(i) for i in range(4))
-        out = [
-            None if t is None else repaired(t, s, e) if e else t
-            for t, s, e in zip(base.to_pylist(), script.to_pylist(), edits.to_pylist())
-        ]
-        yield pa.record_batch([rid, pa.array(out, pa.string())], names=["rid", "canonical"])
+def _repair_part(n: int, names: list[str]):
+    """The first ``n`` columns, and the repaired text of base, script and edits, which follow."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            base, script, edits = (b.column(n + i).to_pylist() for i in range(3))
+            out = [None if t is None else repaired(t, s, e) if e else t for t, s, e in zip(base, script, edits)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array(out, pa.string())], names=names)
+
+    return run
 
 
 def vocabulary_forms(texts: DataFrame) -> DataFrame:
-    """skel, forms: single-script forms in the corpus of every skeleton that occurs in more than one way, or only mixed."""
-    parts = texts.select("text").mapInArrow(_vocab_part, "skel string, token string, script string, n long")
+    """From texts in plain form: skel, forms: single-script forms in the corpus of every skeleton that occurs in more than one way, or only mixed."""
+    parts = texts.mapInArrow(_vocab_part, "skel string, token string, script string, n long")
     tokens = parts.groupBy("skel", "token", "script").agg(F.sum("n").alias("n"))
     by_script = tokens.groupBy("skel", "script").agg(F.max(F.struct("n", "token")).alias("top"), F.sum("n").alias("n"), F.count("*").alias("ways"))
     form = F.when(F.col("script") != "", F.struct("script", F.col("top.token").alias("token"), "n"))
@@ -207,21 +206,23 @@ def vocabulary_forms(texts: DataFrame) -> DataFrame:
 
 def canonical_texts(df: DataFrame, text: str = "text") -> DataFrame:
     """All columns of ``df`` and ``canonical``; the vocabulary is that of ``df``'s own texts."""
-    name = "_rid"
-    while name in df.columns:
-        name = "_" + name
-    rows = staged(df.withColumn(name, F.monotonically_increasing_id()), "lookalike-rows")
-    texts = rows.select(F.col(name).alias("rid"), F.col(text).alias("text"))
-    base = staged(texts.mapInArrow(_base_part, "rid long, base string, script string, doubtful array<struct<pos:int,skel:string,len:int>>"), "lookalike-base")
+    own = [f"c{i}" for i in range(len(df.columns))]  # names that can't clash with ours
+    rows = df.toDF(*own).withColumn("rid", F.monotonically_increasing_id())
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    at = df.columns.index(text)
+    names = [*rows.columns, "base", "script", "doubtful"]
+    base = staged(rows.mapInArrow(_base_part(at, names), f"{fields}, base string, script string, doubtful array<struct<pos:int,skel:string,len:int>>"), "lookalike-base")
     edits = (
         base.select("rid", F.explode("doubtful").alias("d"))
         .select("rid", "d.*")
-        .join(vocabulary_forms(texts), "skel")
+        .join(vocabulary_forms(base.select("base")), "skel")
         .groupBy("rid")
         .agg(F.collect_list(F.struct("pos", "len", "skel", "forms")).alias("edits"))
     )
-    done = base.select("rid", "base", "script").join(edits, "rid", "left").mapInArrow(_repair_part, "rid long, canonical string")
-    return rows.join(done.withColumnRenamed("rid", name), name).drop(name)
+    joined = base.join(edits, "rid", "left").select(*own, "base", "script", "edits")
+    kinds = ", ".join(f"{c} {df.schema[i].dataType.simpleString()}" for i, c in enumerate(own))
+    done = joined.mapInArrow(_repair_part(len(own), [*own, "canonical"]), f"{kinds}, canonical string")
+    return done.toDF(*df.columns, "canonical")
 
 
 def same_looking_pairs(df: DataFrame, canonical: str, group: str, key: str, text: str) -> DataFrame:
