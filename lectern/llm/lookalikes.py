@@ -138,7 +138,7 @@ def _vocab_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield flush()
 
 
-_DOUBTFUL = pa.list_(pa.struct([("pos", pa.int32()), ("skel", pa.string()), ("len", pa.int32())]))
+_DOUBTFUL = pa.list_(pa.struct([("pos", pa.int32()), ("skel", pa.string()), ("token", pa.string())]))
 
 
 def _base_part(at: int, names: list[str]):
@@ -156,7 +156,7 @@ def _base_part(at: int, names: list[str]):
                     if sure:
                         votes[sure] += 1
                     if doubt:
-                        found.append({"pos": m.start(), "skel": skel, "len": len(m[0])})
+                        found.append({"pos": m.start(), "skel": skel, "token": m[0]})
                 bases.append(base)
                 main.append(min(votes, key=lambda s: (-votes[s], s)) if votes else "")
                 doubtful.append(found)
@@ -166,25 +166,22 @@ def _base_part(at: int, names: list[str]):
     return run
 
 
-def repaired(base: str, script: str, edits: list[dict]) -> str:
-    """``base`` with its doubtful tokens in their forms. ``edits``: pos, len, skel, forms (script, token, n)."""
+def repaired(base: str, edits: list[dict]) -> str:
+    """``base`` with some tokens replaced. ``edits``: pos, len, to."""
     out, at = [], 0
     for e in sorted(edits, key=lambda e: e["pos"]):
-        forms = e["forms"] or []
-        own = [f for f in forms if f["script"] == script]
-        best = min(own or forms, key=lambda f: (-f["n"], f["script"] != "LATIN", f["script"]), default=None)
-        out += [base[at : e["pos"]], best["token"] if best else e["skel"]]
+        out += [base[at : e["pos"]], e["to"]]
         at = e["pos"] + e["len"]
     return "".join([*out, base[at:]])
 
 
 def _repair_part(n: int, names: list[str]):
-    """The first ``n`` columns, and the repaired text of base, script and edits, which follow."""
+    """The first ``n`` columns, and the repaired text of base and edits, which follow."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            base, script, edits = (b.column(n + i).to_pylist() for i in range(3))
-            out = [None if t is None else repaired(t, s, e) if e else t for t, s, e in zip(base, script, edits)]
+            base, edits = (b.column(n + i).to_pylist() for i in range(2))
+            out = [repaired(t, e) if e else t for t, e in zip(base, edits)]
             yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array(out, pa.string())], names=names)
 
     return run
@@ -206,22 +203,29 @@ def vocabulary_forms(texts: DataFrame) -> DataFrame:
 
 def canonical_texts(df: DataFrame, text: str = "text") -> DataFrame:
     """All columns of ``df`` and ``canonical``; the vocabulary is that of ``df``'s own texts."""
-    own = [f"c{i}" for i in range(len(df.columns))]  # names that can't clash with ours
-    rows = df.toDF(*own).withColumn("rid", F.monotonically_increasing_id())
+    own_columns = [f"c{i}" for i in range(len(df.columns))]  # names that can't clash with ours
+    rows = df.toDF(*own_columns).withColumn("rid", F.monotonically_increasing_id())
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
     at = df.columns.index(text)
     names = [*rows.columns, "base", "script", "doubtful"]
-    base = staged(rows.mapInArrow(_base_part(at, names), f"{fields}, base string, script string, doubtful array<struct<pos:int,skel:string,len:int>>"), "lookalike-base")
+    base = staged(rows.mapInArrow(_base_part(at, names), f"{fields}, base string, script string, doubtful array<struct<pos:int,skel:string,token:string>>"), "lookalike-base")
+    # the form in the dominant script, else the most frequent, else the skeleton; tokens that stay are no edits
+    order = lambda f: F.struct((-f["n"]).alias("n"), (f["script"] != "LATIN").alias("l"), f["script"].alias("script"), f["token"].alias("token"))
+    forms = F.transform("forms", order)
+    own = F.array_min(F.filter(forms, lambda f: f["script"] == F.col("script")))
+    to = F.coalesce(own["token"], F.array_min(forms)["token"], F.col("skel"))
     edits = (
-        base.select("rid", F.explode("doubtful").alias("d"))
-        .select("rid", "d.*")
+        base.select("rid", "script", F.explode("doubtful").alias("d"))
+        .select("rid", "script", "d.*")
         .join(vocabulary_forms(base.select("base")), "skel")
+        .select("rid", "pos", F.length("token").alias("len"), "token", to.alias("to"))
+        .filter("token <> to")
         .groupBy("rid")
-        .agg(F.collect_list(F.struct("pos", "len", "skel", "forms")).alias("edits"))
+        .agg(F.collect_list(F.struct("pos", "len", "to")).alias("edits"))
     )
-    joined = base.join(edits, "rid", "left").select(*own, "base", "script", "edits")
-    kinds = ", ".join(f"{c} {df.schema[i].dataType.simpleString()}" for i, c in enumerate(own))
-    done = joined.mapInArrow(_repair_part(len(own), [*own, "canonical"]), f"{kinds}, canonical string")
+    joined = base.join(edits, "rid", "left").select(*own_columns, "base", "edits")
+    kinds = ", ".join(f"{c} {df.schema[i].dataType.simpleString()}" for i, c in enumerate(own_columns))
+    done = joined.mapInArrow(_repair_part(len(own_columns), [*own_columns, "canonical"]), f"{kinds}, canonical string")
     return done.toDF(*df.columns, "canonical")
 
 
