@@ -26,35 +26,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Every position at which a term starts: zero-width, so that pairs may overlap.
-TERM = (
-    "(?=([一-鿿]{2}"
-    "|(?<![一-鿿])[一-鿿](?![一-鿿])"
-    "|(?<![\\p{L}\\p{N}&&[^一-鿿]])[\\p{L}\\p{N}&&[^一-鿿]]+))"
-)
+from lectern.functions.text import terms_of
+
 COUNTS = "term string, n long, records long, heavy boolean"
 _ARROW = pa.schema([("term", pa.string()), ("n", pa.int64()), ("records", pa.int64()), ("heavy", pa.bool_())])
 
 
-def terms_of(text):
-    """The array of terms of a text column, in order, repeats included."""
-    return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(1))
-
-
 def heavy_terms(records: DataFrame, share: float = 0.02, one_in: int = 50, max_heavy: int = 4096) -> list[str]:
-    """Terms held by more than ``share`` of a slice of the records; at most ``max_heavy``."""
-    part = records.filter(F.pmod(F.xxhash64("terms"), F.lit(one_in)) == 0)
-    n = part.count()
-    rows = (
-        part.select(F.explode(F.array_distinct("terms")).alias("term"))
-        .groupBy("term")
-        .count()
-        .filter((F.col("count") > share * n) & (F.col("count") > 1))
-        .orderBy(F.desc("count"), "term")
-        .limit(max_heavy)
-        .collect()
-    )
-    return [r["term"] for r in rows]
+    """Terms held by more than ``share`` of a slice of the records (column ``text``); at most ``max_heavy``."""
+    part = records.filter(F.pmod(F.xxhash64("text"), F.lit(one_in)) == 0)
+    # one row for the slice's size (the null term), the rest its terms
+    terms = F.array_append(F.array_distinct(terms_of(F.col("text"))), F.lit(None).cast("string"))
+    rows = part.select(F.explode(terms).alias("term")).groupBy("term").count().orderBy(F.desc("count"), "term").limit(max_heavy + 1).collect()
+    n = max((r["count"] for r in rows if r["term"] is None), default=0)
+    return [r["term"] for r in rows if r["term"] is not None and r["count"] > max(1, share * n)][:max_heavy]
 
 
 def _counter(heavy: list[str], flush_at: int):
@@ -109,9 +94,9 @@ def term_counts(records: DataFrame, vocab: DataFrame | None = None, flush_at: in
 
     ``records`` has one column ``text``; ``vocab`` one column ``vocab``.
     """
-    recs = records.select(terms_of(F.col("text")).alias("terms")).filter(F.col("terms").isNotNull())
-    heavy = heavy_terms(recs, **detect)
-    parts = recs.mapInArrow(_counter(heavy, flush_at), COUNTS)
+    texts = records.select("text").filter(F.col("text").isNotNull())
+    heavy = heavy_terms(texts, **detect)
+    parts = texts.select(terms_of(F.col("text")).alias("terms")).mapInArrow(_counter(heavy, flush_at), COUNTS)
     zero = F.lit(0).cast("long")
     out = parts.select("term", "n", "records", F.lit(False).alias("listed"))
     if vocab is not None:
