@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions.text import ends_sentence
 from lectern.operators.ordered import chain, with_last
+from lectern.session import staged
 
 BUCKET_MS = 3_600_000
 
@@ -114,6 +115,7 @@ def parent_chunks(chunks: DataFrame, group: str, least: int = 1500, most: int =
         to = np.minimum(np.maximum(full, np.arange(n)), soon) + 1
         return np.where(to < n, to, -1)
 
+    chunks = staged(chunks, "parent-chunks")
     steps = chain(chunks, group, "start_sent", ["n_chars", "node_title"], step)
     marked = chunks.join(steps.select(group, F.col("start").alias("start_sent"), F.col("start").alias("_p")), [group, "start_sent"], "left")
     full = with_last(marked, [group], ["start_sent"], F.floor(F.col("start_sent") / 4096), "_p", "parent")

@@ -83,6 +83,7 @@ def chain(
     in a group.
     """
     kind = df.schema[group].dataType.simpleString()
+    df = staged(df.select(group, no, *payload), "chain-rows")
     last = df.groupBy(F.col(group).alias("_g")).agg(F.max(no).alias("_last"))
     rows = df.join(last, F.col(group).eqNullSafe(F.col("_g"))).select(F.col(group).alias("grp"), F.col(no).cast("long").alias("no"), *payload, F.col("_last").cast("long").alias("_last"))
     own = F.floor(F.col("no") / block).cast("long")

@@ -25,9 +25,19 @@ def local_session(cores: int | str = 8, app: str = "lectern", **conf: str) -> Sp
         b = b.config(k.replace("__", "."), v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import this package from where it lies, whatever the driver's own path is."""
+    env = spark.sparkContext.environment
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share: ``spark.checkpoint.dir`` where it is set.
 

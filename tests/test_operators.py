@@ -60,6 +60,14 @@ def test_corrections(spark):
     assert fix(spark, "x-y z", [("", "q"), ("z", None), ("z", "z"), ("x-y", "xy")]) == "xy z"
 
 
+def test_replacement_expression(spark):
+    for t, w, r, want in [("ai, training AI ai.", "ai", "A$1\\", "A$1\\, training AI A$1\\."), ("一二", "一", "x", "一二"), ("词词表", "词表", "T", "词T"), ("a", "", "x", "a"), ("a.b", "a.b", "c", "c"), (None, "a", "b", None)]:
+        df = spark.createDataFrame([(t, w, r)], "t string, w string, r string")
+        assert df.select(text.replace_guarded(F.col("t"), F.col("w"), F.col("r"))).first()[0] == want
+    assert one(spark, text.safe_file_name(F.lit('a:b/c?"d|'))) == "a：b_c__d_"
+    assert one(spark, text.ends_sentence(F.lit("x。"))) and not one(spark, text.ends_sentence(F.lit("")))
+
+
 def test_hits(spark):
     d = spark.createDataFrame([(1, "RAG rag, xrag rag_ 召回召回"), (2, None), (3, "")], "id long, text string")
     t = spark.createDataFrame([("rag",), ("召回",), ("回召",), ("zz",), ("",), (None,)], "term string")
