@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,19 +41,99 @@ def fuse(lists: list[DataFrame], key: str, k: int, constant: int = 60) -> DataFr
     return top(s, key, k)
 
 
-def exact_top_k(entries: DataFrame, is_query: Column, key: str, dense: str, k: int, block_rows: int = 8192) -> DataFrame:
+def ranked_of_queries(scores: DataFrame, query: str, key: str, k: int) -> DataFrame:
+    """The top ``k`` of every query and rank (from 1)."""
+    w = Window.partitionBy(query).orderBy(F.desc("score"), key)
+    return scores.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
+def fuse_of_queries(lists: list[DataFrame], query: str, key: str, k: int, constant: int = 60) -> DataFrame:
+    """Reciprocal-rank fusion of the ranked lists of every query: query, key, score, rank."""
+    both = lists[0].select(query, key, "rank")
+    for x in lists[1:]:
+        both = both.unionByName(x.select(query, key, "rank"))
+    s = both.groupBy(query, key).agg(F.round(F.sum(1.0 / (F.lit(constant) + F.col("rank"))), 6).alias("score"))
+    return ranked_of_queries(s, query, key, k)
+
+
+def sparse_top_k(weights: DataFrame, key: str, query_tf: DataFrame, query: str, idfs: DataFrame, k: int, block_rows: int = 8192) -> DataFrame:
+    """query, key, score, rank: for every query the ``k`` points of greatest sparse score, exactly.
+
+    Points and queries are dealt into blocks of bounded size; in every pair of
+    blocks the postings of a query's terms are summed, so a term that all texts
+    hold makes no row for each pair of texts. ``query_tf`` is query, term, tf.
+    """
+    q = query_tf.join(idfs.select("term", "idf"), "term").select(F.col(query).alias("key"), "term", (F.col("idf") * (1 + F.log("tf"))).alias("w"))
+    e = weights.select(F.col(key).alias("key"), "term", F.col("weight").alias("w"))
+    n, m = e.select("key").distinct().count(), q.select("key").distinct().count()
+    nb, qb = max(1, -(-n // block_rows)), max(1, -(-m // block_rows))
+    h = lambda b: F.pmod(F.xxhash64("key"), F.lit(b)).cast("int")
+    every = lambda b: F.explode(F.sequence(F.lit(0), F.lit(b - 1)))
+    both = e.select(h(nb).alias("eb"), every(qb).alias("qb"), "*", F.lit(False).alias("q")).unionByName(
+        q.select(every(nb).alias("eb"), h(qb).alias("qb"), "*", F.lit(True).alias("q"))
+    )
+    schema = pa.schema([("query", pa.string()), ("key", pa.string()), ("score", pa.float64())])
+
+    def best(t: pa.Table) -> pa.Table:
+        isq = t["q"].to_numpy().astype(bool)
+        w = t["w"].to_numpy()
+        term = t["term"].combine_chunks().dictionary_encode().indices.to_numpy()
+
+        def numbered_keys(rows: pa.ChunkedArray) -> tuple[list[str], np.ndarray]:
+            d = rows.combine_chunks().dictionary_encode()
+            names = d.dictionary.to_pylist()
+            order = sorted(range(len(names)), key=names.__getitem__)
+            place = np.empty(len(names), np.int64)
+            place[order] = np.arange(len(names))
+            return [names[i] for i in order], place[d.indices.to_numpy()]
+
+        points, doc = numbered_keys(t["key"].filter(pa.array(~isq)))
+        queries, who = numbered_keys(t["key"].filter(pa.array(isq)))
+        order = np.argsort(term[~isq], kind="stable")
+        doc, weight, sorted_terms = doc[order], w[~isq][order], term[~isq][order]
+        order = np.argsort(who, kind="stable")
+        who, qw, qt = who[order], w[isq][order], term[isq][order]
+        lo, hi = np.searchsorted(sorted_terms, qt), np.searchsorted(sorted_terms, qt, side="right")
+        out: list[list] = [[], [], []]
+        for i, name in enumerate(queries):
+            mine = range(*np.searchsorted(who, [i, i + 1]).tolist())
+            spans = [(lo[j], hi[j], qw[j]) for j in mine if hi[j] > lo[j]]
+            if not spans:
+                continue
+            at = np.concatenate([doc[a:b] for a, b, _ in spans])
+            score = np.bincount(at, np.concatenate([weight[a:b] * x for a, b, x in spans]), len(points)).round(4)
+            met = np.flatnonzero(np.bincount(at, minlength=len(points)))
+            if len(met) > k:
+                met = met[score[met] >= np.partition(score[met], len(met) - k)[len(met) - k]]
+            met = met[np.argsort(-score[met], kind="stable")][:k]
+            out[0] += [name] * len(met)
+            out[1] += [points[j] for j in met]
+            out[2] += score[met].tolist()
+        return pa.table([pa.array(c, f.type) for c, f in zip(out, schema)], schema=schema)
+
+    found = both.groupBy("eb", "qb").applyInArrow(best, "query string, key string, score double")
+    return ranked_of_queries(found.select(F.col("query").alias(query), F.col("key").alias(key), "score"), query, key, k)
+
+
+def exact_top_k(entries: DataFrame, is_query: Column, key: str, dense: str, k: int, block_rows: int = 8192, queries: DataFrame | None = None) -> DataFrame:
     """key, near, rank, score: for every query row the ``k`` other rows of greatest cosine, exactly.
 
+    ``queries``: rows (key, dense) to take as queries instead, of this or another collection; then a point may find itself.
+
     Queries and entries are dealt into blocks of bounded size; every pair of
     blocks is one matrix product, and the blocks' best are merged per query.
     Rows with a null, empty, zero or other-length vector are left out.
     """
     src = entries.filter(F.size(dense) > 0).select(F.col(key).cast("string").alias("key"), F.col(dense).alias("v"), is_query.alias("q"))
-    n, m = src.count(), src.filter("q").count()
+    asked = src.filter("q")
+    if queries is not None:
+        asked = queries.filter(F.size(dense) > 0).select(F.col(key).cast("string").alias("key"), F.col(dense).alias("v"), F.lit(True).alias("q"))
+    own = queries is not None
+    n, m = src.count(), asked.count()
     nb, qb = max(1, -(-n // block_rows)), max(1, -(-m // block_rows))
     h = lambda b, seed: F.pmod(F.xxhash64("key", F.lit(seed)), F.lit(b)).cast("int")
     e = src.select(h(nb, 1).alias("eb"), F.explode(F.sequence(F.lit(0), F.lit(qb - 1))).alias("qb"), "key", "v", F.lit(False).alias("q"))
-    q = src.filter("q").select(F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).alias("eb"), h(qb, 2).alias("qb"), "key", "v", "q")
+    q = asked.select(F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).alias("eb"), h(qb, 2).alias("qb"), "key", "v", "q")
 
     def best(pdf: pd.DataFrame) -> pd.DataFrame:
         size = pdf["v"].map(len)
@@ -65,7 +146,8 @@ def exact_top_k(entries: DataFrame, is_query: Column, key: str, dense: str, k: i
         for at in range(0, int(isq.sum()), 512):
             rows = np.flatnonzero(isq)[at : at + 512]
             s = np.round(x[rows] @ x[ent].T, 5)
-            s[keys[rows][:, None] == keys[ent][None, :]] = -2
+            if not own:
+                s[keys[rows][:, None] == keys[ent][None, :]] = -2
             order = np.argsort(-s, axis=1, kind="stable")[:, :k]
             out += [(keys[r], keys[ent[j]], float(s[i, j])) for i, r in enumerate(rows) for j in order[i] if s[i, j] > -2]
         return pd.DataFrame(out, columns=["key", "near", "score"])

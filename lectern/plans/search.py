@@ -77,6 +77,45 @@ def rrf_hybrid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.fuse([a, b], "id", 6)
 
 
+def _query_points(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
+    """Every twentieth sub-chunk of a lesson, by its number."""
+    return current_rows(table(spark, sf_dir, "course_subs").select("id", "ingested_at", "block_id", column)).filter("block_id % 20 = 0").select("id", column)
+
+
+def _sparse_of_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, tf, idfs = _index(spark, sf_dir)
+    asked = index.term_frequencies(_query_points(spark, sf_dir, "text"), "id", "text").withColumnRenamed("id", "query")
+    return search.sparse_top_k(index.weights(tf, idfs), "id", asked, "query", idfs, 25)
+
+
+def _dense_of_queries(spark: SparkSession, sf_dir: str, coll: str, k: int) -> DataFrame:
+    points = _usable(current_rows(table(spark, sf_dir, coll).select("id", "ingested_at", "dense")))
+    asked = _usable(_query_points(spark, sf_dir, "dense"))
+    got = search.exact_top_k(points, F.lit(False), "id", "dense", k, queries=asked)
+    return got.select(F.col("key").alias("query"), F.col("near").alias("id"), "score", "rank")
+
+
+def sparse_search_of_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 25 points that best match the text, for every point whose block_id is divisible by 20."""
+    return _sparse_of_queries(spark, sf_dir).select("query", "id", "score")
+
+
+def dense_topk_of_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 25 sub-chunks nearest to each of these points."""
+    return _dense_of_queries(spark, sf_dir, "course_subs", 25).select("query", "id", "score")
+
+
+def outline_topk_of_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four outline nodes nearest to each of them."""
+    return _dense_of_queries(spark, sf_dir, "course_outline", 4).select("query", "id", "score")
+
+
+def rrf_hybrid_of_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dense and sparse lists of 25 of each of them, fused by reciprocal rank, six best."""
+    lists = [_dense_of_queries(spark, sf_dir, "course_subs", 25), _sparse_of_queries(spark, sf_dir)]
+    return search.fuse_of_queries(lists, "query", "id", 6).select("query", "id", "score")
+
+
 def dense_top_of_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten nearest of every embedding whose id is divisible by 20, against all."""
     e = table(spark, sf_dir, "embeddings")
@@ -86,7 +125,7 @@ def dense_top_of_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f for f in (vocab_idf, sparse_weights, sparse_search, dense_topk, outline_topk, rrf_hybrid, dense_top_of_queries)
-}
+} | {f.__name__: f for f in (sparse_search_of_queries, dense_topk_of_queries, outline_topk_of_queries, rrf_hybrid_of_queries)}
 
 _CUR = "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ingested_at DESC NULLS LAST) AS rn FROM {0} WHERE id IS NOT NULL) WHERE rn = 1"
 _INDEX = f"""WITH rec AS (SELECT id, lower(text) AS t FROM ({_CUR.format('course_subs')}) WHERE text IS NOT NULL),
@@ -118,3 +157,19 @@ ORACLE = {
       p AS (SELECT a.vec_id, b.vec_id AS near, round(list_cosine_similarity(a.v, b.v), 5) AS score FROM e a JOIN e b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id)
       SELECT vec_id, near, score FROM p QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, CAST(near AS VARCHAR)) <= 10""",
 }
+
+_OF_QUERIES = _INDEX + """, asked AS (SELECT id AS query FROM cs WHERE block_id % 20 = 0),
+  sqs AS (SELECT query, w.id, round(sum(idf * (1 + ln(tf)) * weight), 4) AS score FROM asked JOIN tf ON tf.id = query JOIN idf USING (term) JOIN w USING (term) GROUP BY 1, 2),
+  sqt AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, id) AS rank FROM sqs QUALIFY rank <= 25),
+  dq AS (SELECT query, v AS qv FROM asked JOIN us ON us.id = query),
+  dqt AS (SELECT query, id, round(list_cosine_similarity(v, qv), 5) AS score, row_number() OVER (PARTITION BY query ORDER BY score DESC, id) AS rank FROM us, dq QUALIFY rank <= 25),
+  oqt AS (SELECT query, id, round(list_cosine_similarity(v, qv), 5) AS score, row_number() OVER (PARTITION BY query ORDER BY score DESC, id) AS rank FROM uo, dq QUALIFY rank <= 4),
+  fused AS (SELECT query, id, round(sum(1.0::DOUBLE / (60 + rank)), 6) AS score FROM (SELECT query, id, rank FROM dqt UNION ALL SELECT query, id, rank FROM sqt) GROUP BY 1, 2)
+"""
+
+ORACLE |= {
+    "sparse_search_of_queries": _OF_QUERIES + "SELECT query, id, score FROM sqt",
+    "dense_topk_of_queries": _OF_QUERIES + "SELECT query, id, score FROM dqt",
+    "outline_topk_of_queries": _OF_QUERIES + "SELECT query, id, score FROM oqt",
+    "rrf_hybrid_of_queries": _OF_QUERIES + "SELECT query, id, score FROM fused QUALIFY row_number() OVER (PARTITION BY query ORDER BY score DESC, id) <= 6",
+}
