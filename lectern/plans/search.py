@@ -10,6 +10,9 @@ from lectern.operators.versions import current_rows
 from lectern.sources.tables import table
 
 
+COLLS = ("course_subs", "course_outline")
+
+
 def _points(spark: SparkSession, sf_dir: str, coll: str = "course_subs") -> DataFrame:
     return current_rows(table(spark, sf_dir, coll))
 
@@ -18,8 +21,14 @@ def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_rows(table(spark, sf_dir, "course_subs").select("id", "ingested_at", "text")).filter("text is not null")
 
 
-def _index(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    docs = _texts(spark, sf_dir)
+def _outline_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every outline node is a record; its text is title and terms."""
+    o = current_rows(table(spark, sf_dir, "course_outline").select("id", "ingested_at", "node_title", "terms"))
+    return o.select("id", F.concat_ws(" ", "node_title", "terms").alias("text"))
+
+
+def _index(spark: SparkSession, sf_dir: str, coll: str = "course_subs") -> tuple[DataFrame, DataFrame, DataFrame]:
+    docs = _texts(spark, sf_dir) if coll == "course_subs" else _outline_texts(spark, sf_dir)
     tf = index.term_frequencies(docs, "id", "text")
     return docs, tf, index.idf(tf, docs.count())
 
@@ -35,6 +44,21 @@ def sparse_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.weights(tf, idfs).select("id", "term", "weight")
 
 
+def vocab_idf_of_colls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vocabularies of both collections, each with its own places and frequencies."""
+    parts = [index.vocabulary(_index(spark, sf_dir, c)[2]).select(F.lit(c).alias("coll"), "term", "idx", "df", F.round("idf", 4).alias("idf")) for c in COLLS]
+    return parts[0].unionByName(parts[1])
+
+
+def sparse_weights_of_colls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored weight of every term of every point of both collections."""
+    parts = []
+    for c in COLLS:
+        _, tf, idfs = _index(spark, sf_dir, c)
+        parts.append(index.weights(tf, idfs).select(F.lit(c).alias("coll"), "id", "term", "weight"))
+    return parts[0].unionByName(parts[1])
+
+
 def _sparse(spark: SparkSession, sf_dir: str, query: DataFrame | None = None) -> DataFrame:
     docs, tf, idfs = _index(spark, sf_dir)
     q = query if query is not None else docs.filter("length(text) > 0").orderBy("id").limit(1)
@@ -125,7 +149,7 @@ def dense_top_of_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f for f in (vocab_idf, sparse_weights, sparse_search, dense_topk, outline_topk, rrf_hybrid, dense_top_of_queries)
-} | {f.__name__: f for f in (sparse_search_of_queries, dense_topk_of_queries, outline_topk_of_queries, rrf_hybrid_of_queries)}
+} | {f.__name__: f for f in (sparse_search_of_queries, dense_topk_of_queries, outline_topk_of_queries, rrf_hybrid_of_queries, vocab_idf_of_colls, sparse_weights_of_colls)}
 
 _CUR = "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ingested_at DESC NULLS LAST) AS rn FROM {0} WHERE id IS NOT NULL) WHERE rn = 1"
 _INDEX = f"""WITH rec AS (SELECT id, lower(text) AS t FROM ({_CUR.format('course_subs')}) WHERE text IS NOT NULL),
@@ -173,3 +197,20 @@ ORACLE |= {
     "outline_topk_of_queries": _OF_QUERIES + "SELECT query, id, score FROM oqt",
     "rrf_hybrid_of_queries": _OF_QUERIES + "SELECT query, id, score FROM fused QUALIFY row_number() OVER (PARTITION BY query ORDER BY score DESC, id) <= 6",
 }
+
+_OUTLINE_INDEX = _INDEX + """, orec AS (SELECT id, lower(concat_ws(' ', node_title, array_to_string(terms, ' '))) AS t FROM co),
+  oruns AS (SELECT id, unnest(regexp_extract_all(regexp_replace(t, '([\\x{4E00}-\\x{9FFF}]+)', ' \\1 ', 'g'), '[\\p{L}\\p{N}]+')) AS r FROM orec),
+  oocc AS (SELECT id, r AS term FROM oruns WHERE NOT regexp_matches(r, '^[\\x{4E00}-\\x{9FFF}]') OR length(r) = 1
+    UNION ALL SELECT id, unnest(list_transform(range(1, length(r)), lambda i: substr(r, i, 2))) FROM oruns WHERE regexp_matches(r, '^[\\x{4E00}-\\x{9FFF}]') AND length(r) > 1),
+  otf AS (SELECT id, term, count(*) AS tf FROM oocc GROUP BY 1, 2),
+  oidf AS (SELECT term, count(*) AS df, ln(1 + ((SELECT count(*) FROM orec) - count(*) + 0.5::DOUBLE) / (count(*) + 0.5::DOUBLE)) AS idf FROM otf GROUP BY term)
+"""
+
+ORACLE |= {
+    "vocab_idf_of_colls": _OUTLINE_INDEX
+    + """SELECT 'course_subs' AS coll, term, row_number() OVER (ORDER BY term) - 1 AS idx, df, round(idf, 4) AS idf FROM idf
+      UNION ALL SELECT 'course_outline', term, row_number() OVER (ORDER BY term) - 1, df, round(idf, 4) FROM oidf""",
+    "sparse_weights_of_colls": _OUTLINE_INDEX
+    + """SELECT 'course_subs' AS coll, id, term, weight FROM w
+      UNION ALL SELECT 'course_outline', id, term, round(idf * (1 + ln(tf)), 4) FROM otf JOIN oidf USING (term)""",
+}
