@@ -115,19 +115,24 @@ def sparse_top_k(weights: DataFrame, key: str, query_tf: DataFrame, query: str,
     return ranked_of_queries(found.select(F.col("query").alias(query), F.col("key").alias(key), "score"), query, key, k)
 
 
-def exact_top_k(entries: DataFrame, is_query: Column, key: str, dense: str, k: int, block_rows: int = 8192, queries: DataFrame | None = None) -> DataFrame:
+def exact_top_k(entries: DataFrame, is_query: Column, key: str, dense: str, k: int, block_rows: int = 8192, queries: DataFrame | None = None, dim: int | None = None) -> DataFrame:
     """key, near, rank, score: for every query row the ``k`` other rows of greatest cosine, exactly.
 
     ``queries``: rows (key, dense) to take as queries instead, of this or another collection; then a point may find itself.
 
     Queries and entries are dealt into blocks of bounded size; every pair of
     blocks is one matrix product, and the blocks' best are merged per query.
-    Rows with a null, empty, zero or other-length vector are left out.
+    Rows with a null, empty, zero or other-length vector are left out; the
+    length is ``dim``, or the most frequent one of all entries (the shorter of two).
     """
     src = entries.filter(F.size(dense) > 0).select(F.col(key).cast("string").alias("key"), F.col(dense).alias("v"), is_query.alias("q"))
+    if dim is None:
+        most = src.groupBy(F.size("v").alias("size")).count().orderBy(F.desc("count"), "size").first()
+        dim = most["size"] if most else 0
+    src = src.filter(F.size("v") == dim)
     asked = src.filter("q")
     if queries is not None:
-        asked = queries.filter(F.size(dense) > 0).select(F.col(key).cast("string").alias("key"), F.col(dense).alias("v"), F.lit(True).alias("q"))
+        asked = queries.filter(F.size(dense) == dim).select(F.col(key).cast("string").alias("key"), F.col(dense).alias("v"), F.lit(True).alias("q"))
     own = queries is not None
     n, m = src.count(), asked.count()
     nb, qb = max(1, -(-n // block_rows)), max(1, -(-m // block_rows))
@@ -136,8 +141,7 @@ def exact_top_k(entries: DataFrame, is_query: Column, key: str, dense: str, k: i
     q = asked.select(F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).alias("eb"), h(qb, 2).alias("qb"), "key", "v", "q")
 
     def best(pdf: pd.DataFrame) -> pd.DataFrame:
-        size = pdf["v"].map(len)
-        pdf = pdf[size == size.mode().iloc[0]].sort_values("key", kind="stable")
+        pdf = pdf.sort_values("key", kind="stable")
         x = np.stack(pdf["v"].to_numpy()).astype(np.float64)
         norm = np.linalg.norm(x, axis=1)
         good = np.isfinite(norm) & (norm > 0)

@@ -115,7 +115,7 @@ def _sparse_of_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _dense_of_queries(spark: SparkSession, sf_dir: str, coll: str, k: int) -> DataFrame:
     points = _usable(current_rows(table(spark, sf_dir, coll).select("id", "ingested_at", "dense")))
     asked = _usable(_query_points(spark, sf_dir, "dense"))
-    got = search.exact_top_k(points, F.lit(False), "id", "dense", k, queries=asked)
+    got = search.exact_top_k(points, F.lit(False), "id", "dense", k, queries=asked, dim=1024)
     return got.select(F.col("key").alias("query"), F.col("near").alias("id"), "score", "rank")
 
 

@@ -193,3 +193,11 @@ def test_api(spark, sf):
     lessons = [r[0] for r in api.get_lesson_outline(spark, sf, "none").collect()]
     assert "L000" in lessons and api.get_lesson_outline(spark, sf, "L000").count() > 0
     assert api.get_segment(spark, sf, "L000", 0.0, 60.0).first()["n_sentences"] > 0
+
+
+def test_exact_top_k_of_mixed_lengths(spark):
+    """Which rows are usable doesn't depend on the blocks that they fall into."""
+    v = spark.createDataFrame([(f"{i:02d}", [1.0, float(i)] if i < 7 else [1.0, 0.0, float(i)]) for i in range(12)], "id string, v array<double>")
+    for block_rows in (1, 2, 100):
+        got = {(r["key"], r["near"]) for r in search.exact_top_k(v, F.lit(True), "id", "v", 20, block_rows=block_rows).collect()}
+        assert got == {(f"{a:02d}", f"{b:02d}") for a in range(7) for b in range(7) if a != b}
