@@ -66,21 +66,26 @@ def p3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # 5: nearest neighbours
-def _near(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = [
-        neighbours.nearest_neighbours(table(spark, sf_dir, coll).select("id", "ingested_at", "dense"), "id", "ingested_at", "dense").withColumn("coll", F.lit(coll))
-        for coll in ("course_subs", "course_outline")
-    ]
-    return parts[0].unionByName(parts[1])
+COLLS = ("course_subs", "course_outline")
+
+
+def _near(spark: SparkSession, sf_dir: str, coll: str) -> tuple[DataFrame, DataFrame]:
+    points = table(spark, sf_dir, coll).select("id", "ingested_at", "dense")
+    return points, neighbours.nearest_neighbours(points, "id", "ingested_at", "dense")
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    close = _near(spark, sf_dir).filter(F.col("cosine") >= 0.80)
-    return close.select("coll", F.least("key", "near").alias("id_a"), F.greatest("key", "near").alias("id_b")).distinct()
+    parts = []
+    for coll in COLLS:
+        points, near = _near(spark, sf_dir, coll)
+        pairs = neighbours.pairs_at_least(near, points, "id", "ingested_at", "dense", 0.80)
+        parts.append(pairs.select(F.lit(coll).alias("coll"), "id_a", "id_b"))
+    return parts[0].unionByName(parts[1])
 
 
 def p5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _near(spark, sf_dir).select("coll", F.col("key").alias("id"), "rank", F.col("near").alias("near_id"), "cosine")
+    parts = [_near(spark, sf_dir, coll)[1].select(F.lit(coll).alias("coll"), F.col("key").alias("id"), "rank", F.col("near").alias("near_id"), "cosine") for coll in COLLS]
+    return parts[0].unionByName(parts[1])
 
 
 # 6: token ids
