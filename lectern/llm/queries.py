@@ -34,18 +34,22 @@ def p1_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # 2: texts that look the same
-def _canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.lit("documents").alias("src"), F.col("doc_id").alias("id"), "text")
     hot = table(spark, sf_dir, "hotwords").select(F.lit("hotwords").alias("src"), F.col("hot_id").alias("id"), "text")
-    return lookalikes.canonical_texts(docs.unionByName(hot))
+    return docs.unionByName(hot)
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lookalikes.same_looking_pairs(_canonical(spark, sf_dir), "canonical", "src", "id", "text")
+    return lookalikes.same_looking_pairs(lookalikes.canonical_keys(_entries(spark, sf_dir), "src", "id"), "src")
+
+
+def p2_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookalikes.same_looking_classes(lookalikes.canonical_keys(_entries(spark, sf_dir), "src", "id"), "src")
 
 
 def p2_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _canonical(spark, sf_dir).select("src", "id", "canonical")
+    return lookalikes.canonical_texts(_entries(spark, sf_dir)).select("src", "id", "canonical")
 
 
 # 3: oversized texts
@@ -107,4 +111,4 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.sentence_units(table(spark, sf_dir, "documents"), "doc_id", "text", model)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p2_found, p2_texts, p3_found, p3_pieces, p5_found, p5_neighbours, p6_ids, p7_containers, p8_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p2_found, p2_classes, p2_texts, p3_found, p3_pieces, p5_found, p5_neighbours, p6_ids, p7_containers, p8_found)}

@@ -58,7 +58,7 @@ PAIR_SPAN = 400
 def _fold_table() -> dict[int, str]:
     """One character for one: plain form of width variants, look-alikes and spaces, for features only."""
     table = {k: v for k, v in lookalikes._CHARS.items() if len(v) == 1}
-    table |= {k: v for k, v in lookalikes._PLAIN.items()}
+    table |= {k: chr(v) for k, v in lookalikes._PLAIN.items() if chr(v).isascii() and chr(v).isalpha()}
     table[ord("\t")] = " "
     return table
 
