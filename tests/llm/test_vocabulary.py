@@ -27,23 +27,38 @@ def test_against_brute_force_and_heavy_path(spark):
         if t is not None:
             n.update(brute(t))
             held.update(set(brute(t)))
-    # every term heavy, some heavy, none heavy: the same counts
-    for kw in ({"share": 0.0, "one_in": 1}, {"share": 0.3, "one_in": 1}, {"share": 1.0, "one_in": 1}, {}):
-        got = {r["term"]: (r["n"], r["records"], r["listed"]) for r in V.term_counts(df, vocab, flush_at=3, **kw).collect()}
+    # every term heavy, some heavy, none heavy, heavy ones that no record holds: the same counts
+    part = spark.createDataFrame([("the never dog",)] * 9, "text string")
+    for kw in ({"share": 0.0}, {"share": 0.3}, {"share": 1.0}, {}, {"detect_on": part}, {"detect_on": part.limit(0)}):
+        counts, n_records = V.term_counts(df, vocab, flush_at=3, **kw)
+        assert n_records == 35
+        rows = counts.collect()
+        got = {r["term"]: (r["n"], r["records"], r["listed"]) for r in rows}
+        assert len(rows) == len(got)
         listed = {"the", "never", "two words"}
         assert got == {t: (n[t], held[t], t in listed) for t in set(n) | listed}
 
 
 def test_heavy_is_found(spark):
     df = spark.createDataFrame([("the x%d" % i,) for i in range(50)], "text string")
-    assert V.heavy_terms(df, share=0.5, one_in=1) == ["the"]
+    assert V.heavy_terms(df, share=0.5) == ["the"]
+
+
+def test_heavy_terms_don_t_go_through_the_shuffle_by_term(spark):
+    """Both tables are in the plan, and the one of heavy terms is summed by position."""
+    df = spark.createDataFrame([("the x%d" % i,) for i in range(50)], "text string")
+    counts, n = V.term_counts(df, share=0.5)
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert n == 50 and "Union" in plan and "Aggregate [slot" in plan and "Aggregate [term" in plan
+    assert counts.filter("term = 'the'").first()["records"] == 50
 
 
 def test_empty_and_marks(spark):
     df = spark.createDataFrame([], "text string")
     vocab = spark.createDataFrame([("a",)], "vocab string")
-    assert [tuple(r) for r in V.term_counts(df, vocab).collect()] == [("a", 0, 0, True)]
-    assert V.term_counts(df).count() == 0
+    counts, n = V.term_counts(df, vocab)
+    assert [tuple(r) for r in counts.collect()] == [("a", 0, 0, True)] and n == 0
+    assert V.term_counts(df)[0].count() == 0
     c = spark.createDataFrame([("a", 2), ("b", 3), ("c", 4)], "term string, records long")
     assert {r["term"]: r["mark"] for r in V.marked(c, 15).collect()} == {"a": "rare", "b": None, "c": "common"}
 
