@@ -5,9 +5,10 @@ ordered by the strength of the boundary at which they end (end of text,
 paragraph, sentence, clause or line, white space, edge of a word, any code
 point) and each takes at most the limit less the overlap (the first piece: the
 limit). ``regexp_extract_all`` gives the fresh stretches; their running lengths
-give the positions, and every piece after the first starts ``overlap`` code
-points before its fresh stretch, so it repeats exactly the last ``overlap``
-code points of the piece before.
+give the positions, and every piece after the first is preceded by the last
+``overlap`` code points of the stretches before it, so it repeats exactly the
+last ``overlap`` code points of the piece before. Pieces are put together from
+stretches, never cut out of the text again: work grows with a text's length.
 
 A boundary in the second half of the room beats a stronger kind in the first
 half; a piece is cut inside a word only if no other place is left. The first
@@ -34,6 +35,9 @@ BOUNDARIES = (
     rf"(?<![{_WORD}])|(?![{_WORD}])",
 )
 
+#: Stretches of a running sum's block, and stretches that surely hold the overlap.
+BLOCK, LOOKBACK = 64, 12
+
 
 def pattern(limit: int, overlap: int) -> str:
     """The expression that consumes a text stretch by stretch."""
@@ -66,33 +70,26 @@ def split_texts(
     t = F.col("_text")
     src = df.select(F.col(key), F.col(text).alias("_text")).filter(t.isNotNull())
     big = src.filter(F.length(t) > limit).withColumn("_fresh", F.regexp_extract_all(t, F.lit(pattern(limit, overlap)), F.lit(0)))
-    # positions at which fresh stretches end: running sums of their lengths
-    big = big.select(
-        key,
-        t,
-        F.when(is_hard(t, limit), "hard").otherwise("soft").alias("cut_kind"),
-        F.aggregate(
-            F.transform("_fresh", lambda s: F.length(s)),
-            F.array(F.lit(0)),
-            lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)),
-        ).alias("_ends"),
-    )
-    n = F.size("_ends")
-    pieces = F.transform(
-        F.sequence(F.lit(2), n),
-        lambda i: F.struct(
-            (i - 2).alias("piece_no"),
-            F.greatest(F.element_at("_ends", i - 1) - F.lit(overlap), F.lit(0)).alias("begin_pos"),
-            F.element_at("_ends", i).alias("end_pos"),
-        ),
-    )
-    out = big.withColumn("_p", F.explode(pieces)).select(
-        key,
-        F.col("_p.piece_no").alias("piece_no"),
-        F.col("_p.begin_pos").cast("long").alias("begin_pos"),
-        F.col("_p.end_pos").cast("long").alias("end_pos"),
-        F.substring(t, F.col("_p.begin_pos") + 1, F.col("_p.end_pos") - F.col("_p.begin_pos")).alias("piece"),
-        "cut_kind",
+    big = big.select(key, F.when(is_hard(t, limit), "hard").otherwise("soft").alias("cut_kind"), "_fresh", F.transform("_fresh", lambda x: F.length(x)).alias("_len"))
+    # lengths before each block of stretches, so that a running sum needs no more than one block
+    total = lambda a: F.aggregate(a, F.lit(0), lambda x, n: x + n)
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size("_len") - 1) / BLOCK).cast("int")), lambda b: total(F.slice("_len", b * BLOCK + 1, BLOCK)))
+    before = F.aggregate(blocks, F.array(F.lit(0)), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
+    big = big.withColumn("_before", before)
+
+    def piece(i: Column) -> Column:
+        b = F.floor((i - 1) / BLOCK).cast("int")
+        end = F.element_at("_before", b + 1) + total(F.slice("_len", b * BLOCK + 1, i - b * BLOCK))
+        # boundaries of ever weaker kinds may make a few short stretches in a row, then a long one follows
+        lookback = F.array_join(F.slice("_fresh", F.greatest(i - LOOKBACK, F.lit(1)), F.least(i - 1, F.lit(LOOKBACK))), "")
+        tail = F.when(i > 1, F.right(lookback, F.lit(overlap))).otherwise("") if overlap else F.lit("")
+        text_of = F.concat(tail, F.element_at("_fresh", i))
+        return F.struct((i - 1).alias("piece_no"), end.cast("long").alias("end_pos"), text_of.alias("piece"))
+
+    out = (
+        big.select(key, "cut_kind", F.explode(F.transform(F.sequence(F.lit(1), F.size("_fresh")), piece)).alias("_p"))
+        .select(key, "cut_kind", "_p.*")
+        .select(key, "piece_no", (F.col("end_pos") - F.length("piece")).alias("begin_pos"), "end_pos", "piece", "cut_kind")
     )
     if not oversized_only:
         small = src.filter(F.length(t) <= limit).select(

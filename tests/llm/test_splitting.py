@@ -56,6 +56,28 @@ def test_strong_boundary_first(spark):
     assert run(spark, [t], 45, 5)[0][0][3].rstrip().endswith("epsilon.")
 
 
+def test_overlap_over_many_short_stretches(spark):
+    """The overlap may reach over several stretches before."""
+    head = "aa\n\nbb. cc, dd "
+    for t in (head + "e" * 300, head * 3 + "-" * 50 + "f" * 400, ("g\n\n" + "h" * 120) * 9):
+        check(t, [p[:4] for p in run(spark, [t], 100, 60)[0]], 100, 60)
+
+
+def test_time_grows_with_length(spark):
+    """One text of two million code points, thousands of pieces."""
+    import time
+
+    rng = random.Random(2)
+    words = " ".join("".join(rng.choice("abcdefg") for _ in range(rng.randint(1, 9))) + rng.choice([".", "", "", ","]) for _ in range(400_000))
+    df = spark.createDataFrame([("k", words)], "k string, text string")
+    took = time.time()
+    got = S.split_texts(df, "k", "text", 400).collect()
+    took = time.time() - took
+    assert len(got) > 5000
+    check(words, [(r["piece_no"], r["begin_pos"], r["end_pos"], r["piece"]) for r in got], 400, 50)
+    assert took < 30, took
+
+
 def test_small_ones(spark):
     got = run(spark, ["short", "", None, "y" * 30], 20, 5, oversized_only=False)
     assert [len(got.get(i, [])) for i in range(4)] == [1, 1, 0, 2]
