@@ -93,9 +93,9 @@ def _shape(w: str) -> str:
     """Class of a word: script or case, digits, and a class of its length."""
     if not w:
         return ""
-    n = "1" if len(w) == 1 else "2" if len(w) < 4 else "4"
     if w.isdigit():
-        return "0" + n
+        return f"0{min(len(w), 4)}"
+    n = "1" if len(w) == 1 else "2" if len(w) < 4 else "4"
     return kind(w[0]) + ("U" if len(w) > 1 and w.isupper() else "") + n
 
 
@@ -331,8 +331,12 @@ def _script(s: str) -> str:
     return max(n, key=lambda k: (n[k], k)) if n else ""
 
 
-def training_lines(sentences: list[str], seed: int = 7, per_line: int = 6) -> Iterator[tuple[str, set[int], bool]]:
-    """(line, true cuts, unmarked) from sentences in order: joined, with and without list markers, and without marks."""
+def training_lines(sentences: list[str], seed: int = 7, per_line: int = 6, altered: float = 0.0) -> Iterator[tuple[str, set[int], bool]]:
+    """(line, true cuts, unmarked) from sentences in order: joined, with and without list markers, and without marks.
+
+    ``altered``: share of lines in lower case; a third as many are in upper case, and as many with case swapped;
+    as many of those without spaces have a plain stop for the ideographic one.
+    """
     rng = random.Random(seed)
     plain = [(_script(s), s) for s in (visible(t.strip())[0] for t in sentences if t and t.strip()) if "\n" not in s]
     for script, run in groupby(plain, key=lambda x: x[0]):
@@ -357,14 +361,19 @@ def training_lines(sentences: list[str], seed: int = 7, per_line: int = 6) -> It
                     if k < len(group) - 1:
                         cuts.add(len(line))
                         line += sep if sep != " " or rng.random() < 0.9 else "  "
-                yield line, cuts, unmarked
+                way = rng.random() if altered else 1.0
+                other = line.lower() if way < altered else line.upper() if way < altered * 4 / 3 else line.swapcase() if way < altered * 5 / 3 else line
+                if altered and script in "HK" and rng.random() < altered:
+                    other = other.replace("。", ".")
+                # a few letters have no single one in the other case: positions must stay
+                yield other if len(other) == len(line) else line, cuts, unmarked
 
 
-def fit(sentences: list[str], titles: list[str] = (), rounds: int = 60, l2: float = 1e-6) -> Model:
+def fit(sentences: list[str], titles: list[str] = (), rounds: int = 150, l2: float = 1e-6) -> Model:
     """A model from sentences in order and from titles that are units of their own."""
     model = Model(np.zeros(SLOTS, np.float32))
     idx, row, lab = [], [], []
-    lines = [*training_lines(sentences, 7), *training_lines(sentences, 8), *((visible(t.strip())[0], set(), is_unmarked(visible(t)[0])) for t in titles if t and t.strip())]
+    lines = [*training_lines(sentences, 7), *training_lines(sentences, 8, altered=0.3), *((visible(t.strip())[0], set(), is_unmarked(visible(t)[0])) for t in titles if t and t.strip())]
     for line, cuts, unmarked in lines:
         pairs, last = pairs_of(line), 0
         cands, indent = candidates(line, unmarked, pairs), len(line) - len(line.lstrip())

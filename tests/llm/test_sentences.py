@@ -15,11 +15,36 @@ def trained(sf, skip_one_in=0):
 def test_held_out_accuracy(sf):
     model, held = trained(sf, 4)
     assert len(held) > 300
-    hit = wrong = missed = 0
-    for line, cuts, unmarked in S.training_lines(held, seed=99):
-        got = set(S.line_cuts(line, unmarked, model))
-        hit, wrong, missed = hit + len(got & cuts), wrong + len(got - cuts), missed + len(cuts - got)
-    assert hit / (hit + wrong) > 0.98 and hit / (hit + missed) > 0.98
+    # as written, in other case, with a plain stop for the ideographic one
+    for alter in (str, str.lower, str.upper, str.swapcase, lambda x: x.replace("。", ".")):
+        hit = wrong = missed = 0
+        for line, cuts, unmarked in S.training_lines(held, seed=99):
+            other = alter(line)
+            if len(other) == len(line):
+                got = set(S.line_cuts(other, unmarked, model))
+                hit, wrong, missed = hit + len(got & cuts), wrong + len(got - cuts), missed + len(cuts - got)
+        assert hit / (hit + wrong) > 0.98 and hit / (hit + missed) > 0.98, (alter, hit, wrong, missed)
+
+
+def test_pairs_are_found_by_structure():
+    """However far apart; a quote that can only open doesn't close, an apostrophe is none."""
+    far = "“" + "word " * 300 + "end.” Next."
+    assert S.pairs_of(far) == [(0, far.index("”"))]
+    assert S.pairs_of('a 5" disk, "two words" and "more"') == [(11, 21), (27, 32)]
+    assert S.pairs_of("‘it’s so’ (a [b) c]") == [(0, 8), (10, 15)]
+    pairs = S.pairs_of("(a (b. c) d. e) f.")
+    assert S.nesting(pairs, S.candidates("(a (b. c) d. e) f.", False, pairs)) == [(3, -1), (0, -1)]
+
+
+def test_time_grows_with_the_line(sf):
+    import time
+
+    model, _ = trained(sf)
+    line = " ".join(f'Word{i} "Quote {i}." and (bracket {i}) more.' for i in range(3000))
+    S.line_cuts(line[:9000], False, model)
+    took = time.time()
+    S.line_cuts(line, False, model)
+    assert len(line) > 130_000 and time.time() - took < 2
 
 
 def test_layouts_and_positions(sf):
