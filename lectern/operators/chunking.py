@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.functions.text import ends_sentence
-from lectern.operators.ordered import chain, with_last
-from lectern.session import staged
+from lectern.operators.ordered import chain, numbered_in, with_last
 
 BUCKET_MS = 3_600_000
 
@@ -22,10 +21,9 @@ def sub_chunks(sentences: DataFrame, group: str, soft: int = 200, hard: int = 40
     left at the end is a chunk if it is more than one sentence. Null and empty
     texts are left out. Needs sent_no unique per group.
     """
-    s = sentences.filter(F.length("text") > 0).select(
-        group, F.col("sent_no").cast("long").alias("sent_no"), "begin_sec", "end_sec", "text", F.length("text").alias("len"), ends_sentence(F.col("text"), marks).alias("term")
-    )
-    head = s.groupBy(group).agg(F.min("sent_no").alias("m")).select(group, (F.col("m") - 1).alias("sent_no"), F.lit(0).alias("len"), F.lit(False).alias("term"))
+    s = sentences.filter(F.length("text") > 0).select(group, F.col("sent_no").cast("long").alias("sent_no"), "begin_sec", "end_sec", "text")
+    s = numbered_in(s, group, ["sent_no"], "row").withColumn("len", F.length("text")).withColumn("term", ends_sentence(F.col("text"), marks))
+    head = s.select(group).distinct().select(group, F.lit(0).cast("long").alias("row"), F.lit(0).alias("len"), F.lit(False).alias("term"))
 
     def step(pdf: pd.DataFrame) -> np.ndarray:
         n = len(pdf)
@@ -39,25 +37,21 @@ def sub_chunks(sentences: DataFrame, group: str, soft: int = 200, hard: int = 40
         to = np.minimum(full, soon)
         return np.where(to < n, to, -1)
 
-    steps = chain(s.select(group, "sent_no", "len", "term").unionByName(head), group, "sent_no", ["len", "term"], step)
-    last = s.groupBy(group).agg(F.max("sent_no").alias("last"))
-    first = head.select(group, F.col("sent_no").alias("h"))
+    steps = chain(s.select(group, "row", "len", "term").unionByName(head), group, "row", ["len", "term"], step)
+    last = s.groupBy(group).agg(F.max("row").alias("last"))
     # the walk begins before the first sentence; a chunk begins with the sentence its step starts at
-    spans = steps.join(last, group).join(first, group).select(
-        group,
-        F.when(F.col("start") == F.col("h"), F.col("start") + 1).otherwise(F.col("start")).alias("start_sent"),
-        F.coalesce("stop", "last").alias("end_sent"),
-        F.col("stop").isNull().alias("rest"),
-    )
-    inside = spans.withColumn("sent_no", F.explode(F.sequence("start_sent", "end_sent"))).join(s, [group, "sent_no"])
-    out = inside.groupBy(group, "start_sent", "end_sent", "rest").agg(
+    spans = steps.join(last, group).select(group, F.greatest("start", F.lit(1)).alias("a"), F.coalesce("stop", "last").alias("z"), F.col("stop").isNull().alias("rest"))
+    inside = spans.withColumn("row", F.explode(F.sequence("a", "z"))).join(s, [group, "row"])
+    out = inside.groupBy(group, "a", "z", "rest").agg(
+        F.min("sent_no").alias("start_sent"),
+        F.max("sent_no").alias("end_sent"),
         F.min_by("begin_sec", F.when(F.col("begin_sec").isNotNull(), F.col("sent_no"))).alias("begin_sec"),
         F.max_by("end_sec", F.when(F.col("end_sec").isNotNull(), F.col("sent_no"))).alias("end_sec"),
         F.sum("len").cast("long").alias("n_chars"),
         F.count("*").alias("n_sents"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("sent_no", "text"))), lambda x: x["text"]), "").alias("text"),
     )
-    return out.filter(~F.col("rest") | (F.col("n_sents") > 1)).drop("rest")
+    return out.filter(~F.col("rest") | (F.col("n_sents") > 1)).drop("a", "z", "rest")
 
 
 def node_bounds(breaks: DataFrame, sentences: DataFrame, group: str, least: int = 5) -> DataFrame:
@@ -70,11 +64,17 @@ def node_bounds(breaks: DataFrame, sentences: DataFrame, group: str, least: int
     edge = n.select(group, F.lit(0).cast("long").alias("at")).unionByName(n.select(group, F.col("n").alias("at")))
     w = Window.partitionBy(group).orderBy("at")
     r = inner.unionByName(edge).distinct().select(group, F.col("at").alias("start_sent"), F.lead("at").over(w).alias("end_sent")).filter(F.col("end_sent") - F.col("start_sent") >= least)
-    # first and last sentence of each range: by number, those that are missing are looked up from inside
-    inside = r.withColumn("sent_no", F.explode(F.sequence(F.col("start_sent"), F.col("end_sent") - 1))).join(sentences.select(group, "sent_no", "begin_sec", "end_sec"), [group, "sent_no"], "left")
+    # first and last sentence of each range, found by carrying the range's start forward over the sentences
+    cols = [group, F.col("sent_no").cast("long").alias("sent_no")]
+    both = sentences.select(*cols, "begin_sec", "end_sec", F.lit(1).alias("side"), F.lit(None).cast("long").alias("start")).unionByName(
+        r.select(group, F.col("start_sent").alias("sent_no"), F.lit(None).cast("double").alias("begin_sec"), F.lit(None).cast("double").alias("end_sec"), F.lit(0).alias("side"), F.col("start_sent").alias("start"))
+    )
+    carried = with_last(both, [group], ["sent_no", "side"], F.floor(F.col("sent_no") / 4096), "start", "start_sent").filter("side = 1 and start_sent is not null")
+    inside = r.join(carried.select(group, "start_sent", "sent_no", "begin_sec", "end_sec"), [group, "start_sent"], "left")
+    own = F.col("sent_no") < F.col("end_sent")
     return inside.groupBy(group, "start_sent", "end_sent").agg(
-        F.min_by("begin_sec", F.when(F.col("begin_sec").isNotNull(), F.col("sent_no"))).alias("begin_sec"),
-        F.max_by("end_sec", F.when(F.col("end_sec").isNotNull(), F.col("sent_no"))).alias("end_sec"),
+        F.min_by("begin_sec", F.when(own & F.col("begin_sec").isNotNull(), F.col("sent_no"))).alias("begin_sec"),
+        F.max_by("end_sec", F.when(own & F.col("end_sec").isNotNull(), F.col("sent_no"))).alias("end_sec"),
     )
 
 
@@ -115,15 +115,16 @@ def parent_chunks(chunks: DataFrame, group: str, least: int = 1500, most: int =
         to = np.minimum(np.maximum(full, np.arange(n)), soon) + 1
         return np.where(to < n, to, -1)
 
-    chunks = staged(chunks, "parent-chunks")
-    steps = chain(chunks, group, "start_sent", ["n_chars", "node_title"], step)
-    marked = chunks.join(steps.select(group, F.col("start").alias("start_sent"), F.col("start").alias("_p")), [group, "start_sent"], "left")
-    full = with_last(marked, [group], ["start_sent"], F.floor(F.col("start_sent") / 4096), "_p", "parent")
-    return full.groupBy(group, F.col("parent").alias("start_sent")).agg(
+    chunks = numbered_in(chunks, group, ["start_sent"], "row")
+    steps = chain(chunks, group, "row", ["n_chars", "node_title"], step)
+    marked = chunks.join(steps.select(group, F.col("start").alias("row"), F.col("start").alias("_p")), [group, "row"], "left")
+    full = with_last(marked, [group], ["row"], F.floor(F.col("row") / 4096), "_p", "parent")
+    return full.groupBy(group, "parent").agg(
+        F.min("start_sent").alias("first"),
         F.count("*").alias("n_subs"),
         F.sum("n_chars").cast("long").alias("n_chars"),
         F.min_by("begin_sec", full["start_sent"]).alias("begin_sec"),
         F.max_by("end_sec", full["start_sent"]).alias("end_sec"),
         F.min_by("node_title", full["start_sent"]).alias("node_title"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(full["start_sent"].alias("k"), "text"))), lambda x: x["text"]), "").alias("text"),
-    )
+    ).drop("parent").withColumnRenamed("first", "start_sent")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lectern.operators.ordered import chain, with_last
+from lectern.operators.ordered import chain, numbered_in, with_last
 
 #: Rows of one bucket of time, in milliseconds.
 BUCKET_MS = 3_600_000
@@ -81,11 +81,11 @@ def plan_cuts(marks: DataFrame, lengths: DataFrame, group: str, least: int = 840
     """
     start = lengths.filter(F.col("dur_ms").isNotNull()).select(group, F.lit(0).cast("long").alias("t_ms"), F.col("dur_ms").cast("long").alias("dur_ms"))
     inner = marks.filter("t_ms > 0").select(group, "t_ms").distinct().join(start.select(group, "dur_ms"), group).filter(F.col("t_ms") < F.col("dur_ms"))
-    rows = start.unionByName(inner)
+    rows = numbered_in(start.unionByName(inner), group, ["t_ms"], "row")
 
     def step(pdf: pd.DataFrame) -> np.ndarray:
-        t = pdf["no"].to_numpy()
-        dur, whole = int(pdf["dur_ms"].iloc[0]), t[-1] >= pdf["_last"].iloc[0]
+        t = pdf["t_ms"].to_numpy()
+        dur, whole = int(pdf["dur_ms"].iloc[0]), pdf["no"].iloc[-1] >= pdf["_last"].iloc[0]
         out = np.full(len(t), -1)
         for i, at in enumerate(t.tolist()):
             while dur - at > most:
@@ -98,13 +98,15 @@ def plan_cuts(marks: DataFrame, lengths: DataFrame, group: str, least: int = 840
                 at += aim
         return out
 
-    steps = chain(rows, group, "t_ms", ["dur_ms"], step, block=14_400_000, margin=7_200_000)
-    d = steps.join(start.select(group, "dur_ms"), group)
+    steps = chain(rows, group, "row", ["t_ms", "dur_ms"], step)
+    # back from rows to times
+    at, to = rows.select(group, F.col("row").alias("start"), F.col("t_ms").alias("from_ms"), "dur_ms"), rows.select(group, F.col("row").alias("stop"), F.col("t_ms").alias("to_ms"))
+    d = steps.join(at, [group, "start"]).join(to, [group, "stop"], "left")
     # cuts without a mark, on the way to the next mark or to the end
-    far = F.coalesce("stop", "dur_ms") - F.col("start")
+    far = F.coalesce("to_ms", "dur_ms") - F.col("from_ms")
     n = F.greatest(F.lit(0), F.ceil((far - most) / F.lit(aim))).cast("int")
-    plain = d.withColumn("k", F.explode(F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array()))).select(group, (F.col("start") + F.col("k") * aim).alias("cut_ms"))
-    return plain.unionByName(d.filter("stop is not null").select(group, F.col("stop").alias("cut_ms")))
+    plain = d.withColumn("k", F.explode(F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array()))).select(group, (F.col("from_ms") + F.col("k") * aim).alias("cut_ms"))
+    return plain.unionByName(d.filter("to_ms is not null").select(group, F.col("to_ms").alias("cut_ms")))
 
 
 def bounds(cuts: DataFrame, lengths: DataFrame, group: str) -> DataFrame:

@@ -120,6 +120,54 @@ def test_cuts(spark):
     assert cuts(4000, [1000, 2950]) == [1000.0, 1900.0, 2950.0]
 
 
+def test_cuts_far_from_any_mark(spark):
+    """Marks hours apart: multiples of the aim until a mark is in reach, as the plain walk gives them."""
+
+    def plain(dur, marks):
+        at, out = 0, []
+        while dur - at > 1_200_000:
+            near = [m for m in sorted(set(marks)) if at + 840_000 <= m <= at + 1_200_000]
+            at = min(near, key=lambda m: abs(m - at - 900_000)) if near else at + 900_000
+            out.append(at)
+        return out
+
+    rng = __import__("random").Random(4)
+    cases = {"a": (36_000_000, [14_000_000, 30_000_000]), "b": (200_000_000, [rng.randrange(200_000_000) for _ in range(40)]), "c": (9_000_000, []), "d": (40_000_000, [1_250_000 + 900_000 * i + j for i in range(30) for j in range(0, 400_000, 900)])}
+    m = spark.createDataFrame([(k, x) for k, (_, marks) in cases.items() for x in marks], "lesson string, t_ms long")
+    d = spark.createDataFrame([(k, dur) for k, (dur, _) in cases.items()], "lesson string, dur_ms long")
+    got = {}
+    for r in segments.plan_cuts(m, d, "lesson").collect():
+        got.setdefault(r["lesson"], []).append(r["cut_ms"])
+    assert {k: sorted(v) for k, v in got.items()} == {k: plain(*v) for k, v in cases.items()}
+
+
+def test_chunks_of_sparse_numbers_and_short_sentences(spark):
+    """Numbers 1,500 apart, and parents that span more than a thousand numbers."""
+    rows = [("L", i * 1500, float(i), i + 1.0, "x" * 149 + "。") for i in range(60)]
+    df = spark.createDataFrame(rows, "lesson string, sent_no long, begin_sec double, end_sec double, text string")
+    got = sorted((r["start_sent"] // 1500, r["end_sent"] // 1500, r["n_chars"]) for r in chunking.sub_chunks(df, "lesson").collect())
+    assert got == [(i, i + 1, 300) for i in range(59)]
+    short = spark.range(12_000).selectExpr("'L' as lesson", "id as sent_no", "double(id) as begin_sec", "double(id + 1) as end_sec", "'ab' as text")
+    subs = chunking.sub_chunks(short, "lesson").withColumn("node_title", F.lit("t"))
+    # the plain walks
+    want, first, size = [], 0, 0
+    for i in range(12_000):
+        size += 2
+        if size >= 400:
+            want.append((first, i, size))
+            first, size = i, 2
+    if first < 11_999:
+        want.append((first, 11_999, size))
+    assert sorted((r["start_sent"], r["end_sent"], r["n_chars"]) for r in subs.collect()) == want
+    parents, size, first = [], 0, 0
+    for k, (_, _, n) in enumerate(want):
+        size += n
+        if size >= 3000 or k == len(want) - 1:
+            parents.append((want[first][0], k - first + 1, size))
+            first, size = k + 1, 0
+    assert sorted((r["start_sent"], r["n_subs"], r["n_chars"]) for r in chunking.parent_chunks(subs, "lesson").collect()) == parents
+
+
 def test_media_logs(spark):
     log = "silence_start: 10\nx silence_end: 12.5 | d\nsilence_start: 50"
     df = spark.createDataFrame([("f", log), ("g", None)], "f string, line string")

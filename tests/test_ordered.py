@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lectern.operators import matching
-from lectern.operators.ordered import chain, with_last
+from lectern.operators.ordered import chain, numbered_in, with_last
 
 
 def jumps():
@@ -18,13 +18,14 @@ def jumps():
     return jump  # by value: workers needn't import the tests
 
 
-@pytest.mark.parametrize("block", [4, 16, 4096])
-def test_chain(spark, block):
+@pytest.mark.parametrize("block,ahead", [(4, 4), (16, 1), (4, 1), (4096, 1024)])
+def test_chain(spark, block, ahead):
+    """Also where steps reach further ahead than a block's view."""
     rng = random.Random(2)
-    data = {g: [rng.randint(0, 2) for _ in range(n)] for g, n in (("a", 100), ("b", 1), ("c", 33), (None, 9))}
+    data = {g: [rng.randint(0, 2) + 40 * (g == "d" and i % 13 == 0) for i in range(n)] for g, n in (("a", 100), ("b", 1), ("c", 33), ("d", 300), (None, 9))}
     df = spark.createDataFrame([(g, i - 1, w) for g, ws in data.items() for i, w in enumerate(ws)], "g string, no long, w int")
     got = {}
-    for r in chain(df, "g", "no", ["w"], jumps(), block=block, margin=4).collect():
+    for r in chain(df, "g", "no", ["w"], jumps(), block=block, ahead=ahead).collect():
         got.setdefault(r["g"], []).append((r["start"], r["stop"]))
     for g, ws in data.items():
         want, at = [], 0
@@ -36,10 +37,11 @@ def test_chain(spark, block):
         assert sorted(got[g], key=lambda x: x[0]) == want
 
 
-def test_chain_margin_too_small(spark):
-    df = spark.createDataFrame([("a", i, 9) for i in range(40)], "g string, no long, w int")
-    with pytest.raises(Exception, match="rows ahead"):
-        chain(df, "g", "no", ["w"], jumps(), block=4, margin=2).collect()
+def test_numbers_in_groups(spark):
+    rows = [(g, k * 1500, "x") for g, n in (("a", 50), (None, 3), ("b", 1)) for k in range(n)]
+    random.Random(1).shuffle(rows)
+    got = sorted((r["g"] or "", r["k"], r["row"]) for r in numbered_in(spark.createDataFrame(rows, "g string, k long, t string").repartition(7), "g", ["k"], "row").collect())
+    assert got == sorted((g or "", k, k // 1500 + 1) for g, k, _ in rows)
 
 
 @pytest.mark.parametrize("width", [1, 7, 1000])
