@@ -61,12 +61,43 @@ def greedy(a, b):
     return out
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_matching_is_the_greedy_one(spark, seed):
+@pytest.mark.parametrize("seed,block", [(1, 8192), (2, 8192), (3, 6), (4, 5)])
+def test_matching_is_the_greedy_one(spark, seed, block):
+    """In one block, and in several with borders amid ties."""
     rng = random.Random(seed)
     a = [(f"a{i:02d}", rng.randint(0, 60) * 100) for i in range(30)]
     b = [(f"b{i:02d}", rng.randint(0, 60) * 100) for i in range(20)]
     mk = lambda x: spark.createDataFrame(x + [(x[0][0] + "n", None)], "id string, value long")
-    assert {tuple(r) for r in matching.nearest_pairs(mk(a), mk(b)).collect()} == greedy(a, b)
-
-
+    assert {tuple(r) for r in matching.nearest_pairs(mk(a), mk(b), block).collect()} == greedy(a, b)
+
+
+def test_matching_without_blocks_of_spark():
+    """The walk of one block against the plain one, and what it leaves to others near its borders."""
+    rng = random.Random(8)
+    for _ in range(200):
+        a = [(f"a{i}", rng.randint(0, 40)) for i in range(rng.randint(0, 12))]
+        b = [(f"b{i}", rng.randint(0, 40)) for i in range(rng.randint(0, 12))]
+        go = lambda x, y, *out: {(x[i][0], y[j][0], d) for i, j, d in matching.walk([v for _, v in x], [k for k, _ in x], [v for _, v in y], [k for k, _ in y], *out)}
+        assert go(a, b, (None, None), (None, None)) == greedy(a, b)
+        # items above 20 are elsewhere: what the block is sure of is true of the whole
+        low = lambda x: [r for r in x if r[1] <= 20]
+        above = lambda x: (None, min((v for _, v in x if v > 20), default=None))
+        assert go(low(a), low(b), above(a), above(b)) <= greedy(a, b)
+
+
+def test_matching_of_shrinking_gaps(spark):
+    """Each pair is decided only after the one before: no round for each."""
+    at, rows = 0, []
+    for i in range(60):
+        rows.append(at)
+        at += 1000 - 9 * i
+    a = [(f"a{i:02d}", v) for i, v in enumerate(rows[::2])]
+    b = [(f"b{i:02d}", v) for i, v in enumerate(rows[1::2])]
+    mk = lambda x: spark.createDataFrame(x, "id string, value long")
+    assert {tuple(r) for r in matching.nearest_pairs(mk(a), mk(b), 16).collect()} == greedy(a, b)
+
+
+def test_matching_of_nothing(spark):
+    none = spark.createDataFrame([], "id string, value long")
+    some = spark.createDataFrame([("x", 1)], "id string, value long")
+    assert matching.nearest_pairs(none, some).count() == matching.nearest_pairs(none, none).count() == 0
