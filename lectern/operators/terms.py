@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-import re
+import json
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions import text as X
+from lectern.operators.ordered import numbered
+from lectern.session import staged
 
 # Words that are no terms.
-NOISE = ("the and for with from this that www http https com cn org pdf png jpg import def class return self print true false none int float str "
-         "list dict len range input output step case new api ai llm it of in on to is as by we ok no yes vs etc eg ie").split()
-
-_WORDLIKE = re.compile(r"[A-Za-z0-9 .+\-]+")
+NOISE = [
+    "the", "and", "for", "with", "from", "this", "that", "www", "http", "https", "com", "cn", "org", "pdf", "png", "jpg",
+    "import", "def", "class", "return", "self", "print", "true", "false", "none", "int", "float", "str", "list", "dict", "len", "range",
+    "input", "output", "step", "case", "new", "api", "ai", "llm", "it", "of", "in", "on", "to", "is", "as", "by", "we",
+    "ok", "no", "yes", "vs", "etc", "eg", "ie",
+]
 
 
 def extract_terms(df: DataFrame, text: str, source: str, noise: list[str] = NOISE) -> DataFrame:
@@ -67,77 +70,86 @@ def _keys(text, words: bool):
     return F.array_distinct(F.regexp_extract_all(text, F.lit("(?s)(?=(..))"), F.lit(1)))
 
 
+def _with_key(texts: DataFrame, keys: list[str], words: bool) -> DataFrame:
+    """keys, k: what each text is looked up by; the text itself stays behind."""
+    return texts.select(*keys, F.explode(_keys(F.col("_text"), words)).alias("k"))
+
+
+def _same(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join on equal keys, null keys included."""
+    names = {k: f"_r{i}" for i, k in enumerate(keys)}
+    r = right.withColumnsRenamed(names)
+    on = [left[k].eqNullSafe(r[n]) for k, n in names.items()]
+    return left.join(r, on, how).drop(*names.values())
+
+
 def term_hits(df: DataFrame, key: str, text: str, terms: DataFrame, term: str) -> DataFrame:
     """key, term, hits: how often each term occurs in each text, where it does.
 
     ASCII terms count where no ASCII letter or digit touches them, whatever
-    their case; others count literally. Texts and terms meet by equality of a
-    word (or of two characters), then hits are counted exactly. Terms of one
-    character that is not an ASCII letter or digit are left out.
+    their case; others count literally. Keys of texts and terms meet by equality
+    of a word (or of two characters); each text then gets the terms that it may
+    hold, and these are counted in it exactly. Terms of one character that is
+    not an ASCII letter or digit are left out. Null texts hold none; each row of
+    a repeated key is counted for itself.
     """
     t = terms.select(F.col(term).alias("term")).distinct().filter(F.length("term") > 0)
-    ascii_ = F.col("term").rlike(r"^[\x20-\x7E]*[A-Za-z0-9][\x20-\x7E]*$")
-    src = df.select(F.col(key).alias("key"), F.col(text).alias("text")).filter(F.length("text") > 0)
-    words = t.filter(ascii_).withColumn("k", F.element_at(_keys(F.col("term"), True), 1))
-    chars = t.filter(~ascii_ & (F.length("term") > 1)).withColumn("k", F.substring("term", 1, 2))
-    a = src.withColumn("k", F.explode(_keys(F.col("text"), True))).join(words, "k")
-    b = src.withColumn("k", F.explode(_keys(F.col("text"), False))).join(chars, "k")
-    pattern = F.concat(F.lit("(?i)(?<![A-Za-z0-9])"), X.quoted(F.col("term")), F.lit("(?![A-Za-z0-9])"))
-    hits = a.select("key", "term", F.regexp_count("text", pattern).cast("long").alias("hits")).unionByName(
-        b.select("key", "term", X.literal_count(F.col("text"), F.col("term")).alias("hits"))
-    )
-    return hits.filter("hits > 0").select(F.col("key").alias(key), F.col("term").alias(term), "hits")
-
-
-def correct(text: str, pairs: list[tuple[str, str]]) -> str:
-    """All pairs in order; each sees what those before it left."""
-    for wrong, right in pairs:
-        if wrong in text:
-            if _WORDLIKE.fullmatch(wrong):
-                text = re.sub(rf"(?<![A-Za-z0-9]){re.escape(wrong)}(?![A-Za-z0-9])", lambda _, r=right: r, text)
-            else:
-                text = text.replace(wrong, right)
-    return text
-
-
-def apply_corrections(df: DataFrame, keys: list[str], text: str, pairs: DataFrame, max_pairs: int = 20_000) -> DataFrame:
+    ascii_ = lambda c: c.rlike(r"^[\x20-\x7E]*[A-Za-z0-9][\x20-\x7E]*$")
+    src = df.select(F.col(key).alias("key"), F.col(text).alias("_text")).filter(F.length("_text") > 0)
+    words = t.filter(ascii_(F.col("term"))).withColumn("k", F.element_at(_keys(F.col("term"), True), 1))
+    chars = t.filter(~ascii_(F.col("term")) & (F.length("term") > 1)).withColumn("k", F.substring("term", 1, 2))
+    near = _with_key(src, ["key"], True).join(words, "k").unionByName(_with_key(src, ["key"], False).join(chars, "k"))
+    may = near.groupBy("key").agg(F.collect_set("term").alias("_may"))
+
+    def count(term: Column) -> Column:
+        at = F.concat(F.lit("(?i)(?<![A-Za-z0-9])"), X.quoted(term), F.lit("(?![A-Za-z0-9])"))
+        return F.when(ascii_(term), F.regexp_count("_text", at).cast("long")).otherwise(X.literal_count(F.col("_text"), term))
+
+    counted = F.filter(F.transform("_may", lambda x: F.struct(x.alias("term"), count(x).alias("hits"))), lambda h: h["hits"] > 0)
+    hits = _same(src, may, ["key"], "inner").select("key", F.explode(counted).alias("h"))
+    return hits.select(F.col("key").alias(key), F.col("h.term").alias(term), "h.hits")
+
+
+def apply_corrections(df: DataFrame, keys: list[str], text: str, pairs: DataFrame, chunk: int = 2000) -> DataFrame:
     """``df`` and corrected: correction pairs (wrong, right) applied in order of length, longest first.
 
     A ``wrong`` of ASCII letters, digits, blank, dot, plus and hyphen is
     replaced only where no ASCII letter or digit touches it; any other by plain
-    replacement; a single ideograph, an empty side ``wrong`` and pairs that
-    change nothing never. ``right`` is literal. Each replacement sees what
-    those before it left; equal lengths go by ``wrong``, then ``right``.
-
-    Texts in which a pair occurs are found by equality of a word or of two
-    characters; only they are looked at with all pairs. ``keys`` identify a
-    row. Null texts stay null. More than ``max_pairs`` pairs are refused.
+    replacement; a single ideograph, an empty ``wrong`` and pairs that change
+    nothing never. ``right`` is literal. Each replacement sees what those before
+    it left; equal lengths go by ``wrong``, then ``right``.
+
+    Pairs are numbered in their order and applied ``chunk`` by chunk. Texts in
+    which a pair of the chunk occurs are found by equality of a word or of two
+    characters; they alone are folded over the chunk's pairs (no other text can
+    change, as the first replacement in it would need such an occurrence).
+    ``keys`` identify a row. Null texts stay null.
     """
     p = pairs.select("wrong", "right").filter("length(wrong) > 0 and right is not null and wrong <> right").distinct()
     p = p.filter(~F.col("wrong").rlike("^[一-鿿]$"))
-    rows = p.limit(max_pairs + 1).collect()
-    if len(rows) > max_pairs:
-        raise ValueError(f"more than {max_pairs} correction pairs")
-    todo = sorted(((r["wrong"], r["right"]) for r in rows), key=lambda x: (-len(x[0]), *x))
-
-    @F.pandas_udf("string")
-    def corrected(t: pd.Series) -> pd.Series:
-        return t.map(lambda x: correct(x, todo))
-
-    src = df.select(*keys, F.col(text).alias("_text")).filter(F.col("_text").isNotNull())
-    lone = p.filter(F.length("wrong") == 1).select(F.col("wrong").alias("k"))
-    k = src.withColumn("k", F.explode(F.array_distinct(F.concat(_keys(F.col("_text"), True), _keys(F.col("_text"), False)))))
-    hit = k.join(_pair_keys(p), "k").filter(F.expr("contains(_text, wrong)")).select(*keys)
-    if not lone.isEmpty():
+    p = numbered(p, [F.length("wrong").desc(), F.col("wrong"), F.col("right")], "n", 0)
+    out = df.withColumn("corrected", F.col(text))
+    total = p.count()
+    for at in range(0, total, chunk):
+        part = p.filter(F.col("n").between(at, at + chunk - 1))
+        rows = [(r["wrong"], r["right"]) for r in part.orderBy("n").select("wrong", "right").collect()]
+        todo = F.from_json(F.lit(json.dumps([{"w": w, "r": r} for w, r in rows])), "array<struct<w:string,r:string>>")
+        fixed = F.aggregate(todo, F.col("corrected"), lambda acc, x: F.when(F.contains(acc, x["w"]), X.replace_guarded(acc, x["w"], x["r"])).otherwise(acc))
+        src = out.select(*keys, F.col("corrected").alias("_text")).filter(F.col("_text").isNotNull())
+        near = _with_key(src, keys, True).unionByName(_with_key(src, keys, False))
+        lone = part.filter(F.length("wrong") == 1).select(F.col("wrong").alias("k"))
         # a single character that isn't a word of its own is looked up as such
-        one = src.withColumn("k", F.explode(F.array_distinct(F.split("_text", ""))))
-        hit = hit.unionByName(one.join(lone, "k", "left_semi").select(*keys))
-    fixed = src.join(hit.distinct(), keys, "left_semi").select(*keys, corrected("_text").alias("_fixed"))
-    return df.join(fixed, keys, "left").withColumn("corrected", F.coalesce("_fixed", text)).drop("_fixed")
+        one = src.select(*keys, F.explode(F.array_distinct(F.split("_text", ""))).alias("k"))
+        hit = near.join(_pair_keys(part).select("k").distinct(), "k", "left_semi").unionByName(one.join(lone, "k", "left_semi"))
+        marked = _same(out, hit.select(*keys).distinct().withColumn("_hit", F.lit(True)), keys, "left")
+        out = marked.withColumn("corrected", F.when(F.col("_hit"), fixed).otherwise(F.col("corrected"))).drop("_hit")
+        if at + chunk < total:
+            out = staged(out, "corrected")
+    return out
 
 
 def _pair_keys(p: DataFrame) -> DataFrame:
     word = F.element_at(_keys(F.col("wrong"), True), 1)
     has = F.size(_keys(F.col("wrong"), True)) > 0
     ascii_ = F.col("wrong").rlike(r"^[A-Za-z0-9 .+\-]+$") & has
-    return p.withColumn("k", F.when(ascii_, F.when(has, word)).otherwise(F.substring("wrong", 1, 2))).filter(F.col("k").isNotNull())
+    return p.withColumn("k", F.when(ascii_, word).otherwise(F.substring("wrong", 1, 2))).filter(F.length("k") > 0)

@@ -60,6 +60,26 @@ def test_corrections(spark):
     assert fix(spark, "x-y z", [("", "q"), ("z", None), ("z", "z"), ("x-y", "xy")]) == "xy z"
 
 
+@pytest.mark.parametrize("chunk", [9, 2000])
+def test_corrections_in_chunks(spark, chunk):
+    """As one pair after the other on every text, whatever the chunks."""
+    rng = __import__("random").Random(6)
+    bits = ["ai", "b.c", "x", "词汇", "词", "表", " ", "-", "gpt", "é"]
+    word = lambda n: "".join(rng.choice(bits) for _ in range(n))
+    texts = [(f"k{i}", word(12)) for i in range(60)]
+    pairs = [(word(rng.randint(1, 3)), word(rng.randint(0, 2))) for _ in range(25)]
+    import re
+
+    want = {}
+    for k, t in texts:
+        for w, r in sorted(set(pairs), key=lambda x: (-len(x[0]), *x)):
+            if w != r and not re.fullmatch("[一-鿿]", w):
+                t = re.sub(rf"(?<![A-Za-z0-9]){re.escape(w)}(?![A-Za-z0-9])", lambda _, r=r: r, t) if re.fullmatch(r"[A-Za-z0-9 .+\-]+", w) else t.replace(w, r)
+        want[k] = t
+    s, p = spark.createDataFrame(texts, "id string, text string"), spark.createDataFrame(pairs, "wrong string, right string")
+    assert {r["id"]: r["corrected"] for r in terms.apply_corrections(s, ["id"], "text", p, chunk).collect()} == want
+
+
 def test_replacement_expression(spark):
     for t, w, r, want in [("ai, training AI ai.", "ai", "A$1\\", "A$1\\, training AI A$1\\."), ("一二", "一", "x", "一二"), ("词词表", "词表", "T", "词T"), ("a", "", "x", "a"), ("a.b", "a.b", "c", "c"), (None, "a", "b", None)]:
         df = spark.createDataFrame([(t, w, r)], "t string, w string, r string")
