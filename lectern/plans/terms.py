@@ -11,7 +11,7 @@ from lectern.sources.tables import table
 
 
 def _mined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.extract_terms(table(spark, sf_dir, "documents"), "text", "lesson")
+    return T.extract_terms(table(spark, sf_dir, "documents").select("lesson", "text"), "text", "lesson")
 
 
 def term_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,7 +40,7 @@ def _words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = table(spark, sf_dir, "documents", spread=True).select("doc_id", "text")
     return T.term_hits(d, "doc_id", "text", _words(spark, sf_dir), "term")
 
 
