@@ -37,7 +37,7 @@ def p1_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # 2: texts that look the same
 def _entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select(F.lit("documents").alias("src"), F.col("doc_id").alias("id"), "text")
+    docs = table(spark, sf_dir, "documents", spread=True).select(F.lit("documents").alias("src"), F.col("doc_id").alias("id"), "text")
     hot = table(spark, sf_dir, "hotwords").select(F.lit("hotwords").alias("src"), F.col("hot_id").alias("id"), "text")
     return docs.unionByName(hot)
 
@@ -76,7 +76,7 @@ COLLS = ("course_subs", "course_outline")
 
 
 def _near(spark: SparkSession, sf_dir: str, coll: str) -> tuple[DataFrame, DataFrame]:
-    points = table(spark, sf_dir, coll).select("id", "ingested_at", "dense")
+    points = table(spark, sf_dir, coll, spread=True).select("id", "ingested_at", "dense")
     return points, neighbours.nearest_neighbours(points, "id", "ingested_at", "dense")
 
 
@@ -96,12 +96,12 @@ def p5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # 6: token ids
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokens.token_ids(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return tokens.token_ids(table(spark, sf_dir, "documents", spread=True).select("doc_id", "text"), "doc_id", "text")
 
 
 # 7: containers
 def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sizes = tokens.token_sizes(table(spark, sf_dir, "documents"), "doc_id", "text")
+    sizes = tokens.token_sizes(table(spark, sf_dir, "documents", spread=True).select("doc_id", "text"), "doc_id", "text")
     return packing.pack(sizes, "doc_id", "n_tokens", CAPACITY)
 
 
@@ -110,7 +110,7 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     outline = table(spark, sf_dir, "course_outline")
     titles = outline.select("title").union(outline.select("node_title"))
     model = sentences.train(table(spark, sf_dir, "sentences"), "lesson", "sent_no", "text", titles)
-    return sentences.sentence_units(table(spark, sf_dir, "documents"), "doc_id", "text", model)
+    return sentences.sentence_units(table(spark, sf_dir, "documents", spread=True).select("doc_id", "text"), "doc_id", "text", model)
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p2_found, p2_classes, p2_texts, p3_found, p3_pieces, p5_found, p5_neighbours, p6_ids, p7_containers, p8_found)}
