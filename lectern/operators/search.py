@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.functions import vector
 
 
 def sparse_scores(weights: DataFrame, key: str, query_tf: DataFrame, idfs: DataFrame) -> DataFrame:
@@ -17,10 +18,36 @@ def sparse_scores(weights: DataFrame, key: str, query_tf: DataFrame, idfs: DataF
     return weights.join(q, "term").groupBy(key).agg(F.round(F.sum(F.col("q") * F.col("weight")), 4).alias("score"))
 
 
+def with_cosine(points: DataFrame, dense: str, query: list[float]) -> DataFrame:
+    """``points`` without ``dense``, and score: cosine with the query vector, to five places; null for a vector that isn't usable.
+
+    One matrix-vector product for each batch, before any shuffle: vectors never leave their scan.
+    """
+    q = np.asarray(query, np.float64)
+    q = q / np.linalg.norm(q)
+    rest = [c for c in points.columns if c != dense]
+    src = points.select(*rest, F.col(dense).cast("array<double>").alias("_v"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            v = b.column(len(rest))
+            at = v.offsets.to_numpy()
+            flat = v.values.to_numpy(zero_copy_only=False)
+            score = np.full(len(b), np.nan)
+            ok = np.flatnonzero((np.diff(at) == len(q)) & v.is_valid().to_numpy(zero_copy_only=False))
+            if len(ok):
+                x = flat[at[ok][:, None] + np.arange(len(q))]
+                with np.errstate(invalid="ignore", divide="ignore"):
+                    score[ok] = (x @ q) / np.linalg.norm(x, axis=1)
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(rest)], pa.array(score, pa.float64(), from_pandas=True)], names=[*rest, "score"])
+
+    schema = ", ".join(f"`{c}` {points.schema[c].dataType.simpleString()}" for c in rest)
+    return src.mapInArrow(run, f"{schema}, score double").withColumn("score", F.round("score", 5))
+
+
 def dense_scores(points: DataFrame, key: str, dense: str, query: list[float]) -> DataFrame:
     """key, score: cosine with the query vector, to five places; points without a usable vector are left out."""
-    q = F.array(*[F.lit(float(x)) for x in query])
-    return points.select(key, F.round(vector.cosine(F.col(dense), q), 5).alias("score")).filter("score is not null")
+    return with_cosine(points.select(key, dense), dense, query).filter("score is not null")
 
 
 def top(scores: DataFrame, key: str, k: int) -> DataFrame:

@@ -2,21 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.operators import index, search
 from lectern.operators.versions import current_rows
+from lectern.session import shared_dir, staged
 from lectern.sources.tables import table
 
-
 COLLS = ("course_subs", "course_outline")
 
 
-def _points(spark: SparkSession, sf_dir: str, coll: str = "course_subs") -> DataFrame:
-    return current_rows(table(spark, sf_dir, coll))
-
-
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_rows(table(spark, sf_dir, "course_subs").select("id", "ingested_at", "text")).filter("text is not null")
 
@@ -28,7 +26,8 @@ def _outline_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _index(spark: SparkSession, sf_dir: str, coll: str = "course_subs") -> tuple[DataFrame, DataFrame, DataFrame]:
-    docs = _texts(spark, sf_dir) if coll == "course_subs" else _outline_texts(spark, sf_dir)
+    # written once: counted, cut into terms and asked from
+    docs = staged(_texts(spark, sf_dir) if coll == "course_subs" else _outline_texts(spark, sf_dir), "index-texts")
     tf = index.term_frequencies(docs, "id", "text")
     return docs, tf, index.idf(tf, docs.count())
 
@@ -59,10 +58,12 @@ def sparse_weights_of_colls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
-def _sparse(spark: SparkSession, sf_dir: str, query: DataFrame | None = None) -> DataFrame:
-    docs, tf, idfs = _index(spark, sf_dir)
-    q = query if query is not None else docs.filter("length(text) > 0").orderBy("id").limit(1)
-    return search.sparse_scores(index.weights(tf, idfs), "id", index.term_frequencies(q, "id", "text").select("term", "tf"), idfs)
+def _sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = staged(_texts(spark, sf_dir), "index-texts")
+    asked = index.term_frequencies(docs.filter("length(text) > 0").orderBy("id").limit(1), "id", "text").select("term", "tf")
+    tf = index.frequencies_of(docs, "id", "text", asked)
+    idfs = index.idf(tf, docs.count())
+    return search.sparse_scores(index.weights(tf, idfs), "id", asked, idfs)
 
 
 def sparse_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,18 +71,32 @@ def sparse_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.top(_sparse(spark, sf_dir), "id", 25)
 
 
+def stored_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from an index that was saved before: only the stored weights of the query's terms are read."""
+    home = f"{shared_dir(spark)}/lectern-index-{uuid.uuid4().hex}"
+    docs = staged(_texts(spark, sf_dir), "index-texts")
+    index.save(docs, "id", "text", home)
+    idfs, weights = index.load(spark, home)
+    asked = index.term_frequencies(docs.filter("length(text) > 0").orderBy("id").limit(1), "id", "text").select("term", "tf")
+    return search.top(search.sparse_scores(weights, "id", asked, idfs), "id", 25)
+
+
 def _usable(df: DataFrame) -> DataFrame:
     return df.filter((F.size("dense") == 1024) & F.exists("dense", lambda x: x != 0))
 
 
 def _query_vector(spark: SparkSession, sf_dir: str) -> list[float]:
-    cur = current_rows(table(spark, sf_dir, "course_subs").select("id", "ingested_at", "dense"))
-    return _usable(cur).orderBy("id").select("dense").first()[0]
+    """The vector of the first point whose current one is usable: found by narrow columns, then read."""
+    rows = table(spark, sf_dir, "course_subs").select("id", "ingested_at", "dense")
+    flags = rows.select("id", "ingested_at", ((F.size("dense") == 1024) & F.exists("dense", lambda x: x != 0)).alias("usable"))
+    first = current_rows(flags).filter("usable").agg(F.min("id")).first()[0]
+    return current_rows(rows.filter(F.col("id") == first)).first()["dense"]
 
 
 def _dense(spark: SparkSession, sf_dir: str, coll: str) -> DataFrame:
-    cur = _usable(current_rows(table(spark, sf_dir, coll).select("id", "ingested_at", "dense")))
-    return search.dense_scores(cur, "id", "dense", _query_vector(spark, sf_dir))
+    rows = table(spark, sf_dir, coll).select("id", "ingested_at", "dense")
+    # cosines first, then the current rows among narrow ones
+    return current_rows(search.with_cosine(rows, "dense", _query_vector(spark, sf_dir))).filter("score is not null").select("id", "score")
 
 
 def dense_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,7 +163,7 @@ def dense_top_of_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    f.__name__: f for f in (vocab_idf, sparse_weights, sparse_search, dense_topk, outline_topk, rrf_hybrid, dense_top_of_queries)
+    f.__name__: f for f in (vocab_idf, sparse_weights, sparse_search, stored_search, dense_topk, outline_topk, rrf_hybrid, dense_top_of_queries)
 } | {f.__name__: f for f in (sparse_search_of_queries, dense_topk_of_queries, outline_topk_of_queries, rrf_hybrid_of_queries, vocab_idf_of_colls, sparse_weights_of_colls)}
 
 _CUR = "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ingested_at DESC NULLS LAST) AS rn FROM {0} WHERE id IS NOT NULL) WHERE rn = 1"
@@ -174,6 +189,7 @@ ORACLE = {
     "vocab_idf": _INDEX + "SELECT term, row_number() OVER (ORDER BY term) - 1 AS idx, df, round(idf, 4) AS idf FROM idf",
     "sparse_weights": _INDEX + "SELECT id, term, weight FROM w",
     "sparse_search": _INDEX + "SELECT id, score FROM sp ORDER BY score DESC, id LIMIT 25",
+    "stored_search": _INDEX + "SELECT id, score FROM sp ORDER BY score DESC, id LIMIT 25",
     "dense_topk": _INDEX + "SELECT id, score FROM ds ORDER BY score DESC, id LIMIT 25",
     "outline_topk": _INDEX + "SELECT id, round(list_cosine_similarity(v, qv), 5) AS score FROM uo, qv ORDER BY score DESC, id LIMIT 4",
     "rrf_hybrid": _INDEX + "SELECT id, round(sum(1.0::DOUBLE / (60 + rank)), 6) AS score FROM (SELECT * FROM dl UNION ALL SELECT * FROM sl) GROUP BY id ORDER BY score DESC, id LIMIT 6",

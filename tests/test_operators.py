@@ -255,11 +255,19 @@ def test_providers(spark):
     assert one(spark, providers.numbered(F.array(F.lit("a"), F.lit("b")))) == "0. a\n1. b"
 
 
-def test_api(spark, sf):
+def test_api(spark, sf, tmp_path):
     out = api.search_course_notes(spark, sf, "召回", [1.0] + [0.0] * 1023)
     assert out["hits"].count() <= 6 and out["chapters"].count() == 4
-    lessons = [r[0] for r in api.get_lesson_outline(spark, sf, "none").collect()]
-    assert "L000" in lessons and api.get_lesson_outline(spark, sf, "L000").count() > 0
+    home = f"file://{tmp_path}/index"
+    api.build_index(spark, sf, home)
+    # a saved index gives the same
+    query = "召回 the budget"
+    assert [tuple(r) for r in api.search_course_notes(spark, sf, query)["hits"].orderBy("score", "text").collect()] == [
+        tuple(r) for r in api.search_course_notes(spark, sf, query, index_home=home)["hits"].orderBy("score", "text").collect()
+    ]
+    known = [r[0] for r in api.lessons(spark, sf).collect()]
+    none, some = api.get_lesson_outline(spark, sf, "none"), api.get_lesson_outline(spark, sf, "L000")
+    assert "L000" in known and some.count() > 0 and none.count() == 0 and none.schema == some.schema
     assert api.get_segment(spark, sf, "L000", 0.0, 60.0).first()["n_sentences"] > 0
 
 
