@@ -59,3 +59,33 @@ def catalogue(nodes: DataFrame, subs: DataFrame, manifest: DataFrame, shown: int
             F.coalesce("terms", F.lit("—")).alias("terms"),
         )
     )
+
+
+def select_recordings(manifest: DataFrame, cohort: str, all_of: tuple[str, ...] = ("2026", "archive")) -> DataFrame:
+    """Recordings of a cohort (``all``: of every one in ``all_of``) that have a lesson number."""
+    wanted = list(all_of) if cohort == "all" else [cohort]
+    return manifest.filter(F.col("cohort").isin(wanted) & F.col("lesson_no").isNotNull())
+
+
+def first_with_prefix(rows: DataFrame, text: str, order: list, prefixes: DataFrame, prefix: str) -> DataFrame:
+    """``prefix`` and the columns of its first row, by ``order``, whose ``text`` begins with it; prefixes without one are left out.
+
+    Each text's beginnings, of the lengths that occur, meet the prefixes by equality. Empty and null prefixes match nothing.
+    """
+    p = prefixes.select(F.col(prefix).alias("_p")).filter(F.length("_p") > 0).distinct()
+    lengths = p.select(F.length("_p").alias("_n")).distinct()
+    heads = rows.join(F.broadcast(lengths), F.length(text) >= F.col("_n")).withColumn("_p", F.expr(f"left(`{text}`, _n)"))
+    w = Window.partitionBy("_p").orderBy(*order)
+    return heads.join(p, "_p").withColumn("_r", F.row_number().over(w)).filter("_r = 1").select(F.col("_p").alias(prefix), *rows.columns)
+
+
+def first_prefix_or_equal(names: DataFrame, name: str, entries: DataFrame, no: str, equal: str, order: list) -> DataFrame:
+    """``name`` and the columns of the first of ``entries``, by ``order``, whose ``no`` the name begins with, or whose ``equal`` it is.
+
+    An entry without ``no`` (null or empty) matches by ``equal`` alone; names without an entry are left out.
+    """
+    n = names.select(F.col(name).alias("_name")).filter("_name is not null").distinct()
+    heads = n.select("_name", F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.length("_name"), F.lit(1))), lambda i: F.left("_name", i))).alias("_no")).filter(F.length("_no") > 0).distinct()
+    both = heads.join(entries, F.col("_no") == F.col(no)).drop("_no").unionByName(n.join(entries, F.col("_name") == F.col(equal)))
+    w = Window.partitionBy("_name").orderBy(*order)
+    return both.withColumn("_r", F.row_number().over(w)).filter("_r = 1").select(F.col("_name").alias(name), *entries.columns)

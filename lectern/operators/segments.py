@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -132,18 +132,36 @@ def segment_of(sentences: DataFrame, segments: DataFrame, group: str) -> DataFra
     return both.filter("side = 1").select(*cols, F.col("in_seg.seg_no").alias("seg_no"), F.col("in_seg.start_ms").alias("start_ms"))
 
 
+def segment_name(group: str) -> Column:
+    """What a segment's result is named after: group, number and start."""
+    return F.concat_ws("-", group, F.col("seg_no").cast("string"), F.col("start_ms").cast("string"))
+
+
+def no_speech(segments: DataFrame, group: str) -> DataFrame:
+    """group, seg_no, start_ms, body: the result document that stands for a segment without speech, so that it isn't tried again."""
+    body = F.struct(F.struct(segment_name(group).alias("segment"), F.lit(True).alias("no_speech")).alias("meta"))
+    return segments.select(group, "seg_no", "start_ms", F.to_json(body).alias("body"))
+
+
 def results_as_json(sentences: DataFrame, group: str) -> DataFrame:
     """group, seg_no, start_ms, body: one JSON result document per segment, with times from the segment's start."""
     item = F.struct("sent_no", (F.col("begin_ms") - F.col("start_ms")).alias("begin_time"), (F.col("end_ms") - F.col("start_ms")).alias("end_time"), "text")
     ordered = F.transform(F.array_sort(F.collect_list(item)), lambda x: F.struct(x["begin_time"].alias("begin_time"), x["end_time"].alias("end_time"), x["text"].alias("text")))
     g = sentences.groupBy(group, "seg_no", "start_ms").agg(ordered.alias("s"))
     body = F.struct(
-        F.struct(F.concat_ws("-", group, F.col("seg_no").cast("string")).alias("segment"), F.lit(False).alias("no_speech")).alias("meta"),
+        F.struct(segment_name(group).alias("segment"), F.lit(False).alias("no_speech")).alias("meta"),
         F.struct(F.array(F.struct(F.col("s").alias("sentences"))).alias("transcripts")).alias("result"),
     )
     return g.select(group, "seg_no", "start_ms", F.to_json(body).alias("body"))
 
 
+def results_of(bodies: DataFrame, segments: DataFrame, group: str) -> DataFrame:
+    """group, seg_no, start_ms, body: segments with the result document that names them; documents that name none are left out."""
+    named = bodies.select(F.col("body"), F.from_json("body", ASR_RESULT)["meta"]["segment"].alias("_name"))
+    own = segments.select(group, "seg_no", "start_ms").distinct().withColumn("_name", segment_name(group))
+    return own.join(named, "_name").drop("_name")
+
+
 def merge_results(results: DataFrame, group: str) -> DataFrame:
     """group, seg_no, pos, begin, end, text: sentences of all result documents on the recording's clock.
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions import text as X
-from lectern.operators.ordered import numbered
+from lectern.operators.ordered import numbered, numbered_in
 from lectern.session import staged
 
 # Words that are no terms.
@@ -153,3 +153,23 @@ def _pair_keys(p: DataFrame) -> DataFrame:
     has = F.size(_keys(F.col("wrong"), True)) > 0
     ascii_ = F.col("wrong").rlike(r"^[A-Za-z0-9 .+\-]+$") & has
     return p.withColumn("k", F.when(ascii_, word).otherwise(F.substring("wrong", 1, 2))).filter(F.length("k") > 0)
+
+
+def apply_in_blocks(df: DataFrame, group: str, order: str, text: str, pairs: DataFrame, rows: int = 50) -> DataFrame:
+    """``df`` with block and corrected: a pair counts only in the blocks of ``rows`` consecutive texts of a group that hold its ``wrong``.
+
+    Order and guards are those of ``apply_corrections``. Null texts stay null. ``order`` is unique in a group.
+    """
+    src = numbered_in(df, group, [order], "_row", 0).withColumn("block", F.floor(F.col("_row") / rows).cast("long"))
+    p = pairs.select("wrong", "right").filter("length(wrong) > 0 and right is not null and wrong <> right").distinct()
+    p = numbered(p.filter(~F.col("wrong").rlike("^[一-鿿]$")), [F.length("wrong").desc(), F.col("wrong"), F.col("right")], "n", 0)
+    texts = src.select(group, "block", F.col(text).alias("_text")).filter("_text is not null")
+    keys = F.array_distinct(F.concat(_keys(F.col("_text"), True), _keys(F.col("_text"), False), F.split("_text", "")))
+    # blocks and pairs meet by key; a block then looks for the pairs that it may hold
+    near = texts.select(group, "block", F.explode(keys).alias("k")).distinct()
+    own = _pair_keys(p).unionByName(p.filter("length(wrong) = 1").withColumn("k", F.col("wrong"))).distinct()
+    may = near.join(own, "k").groupBy(group, "block").agg(F.sort_array(F.collect_set(F.struct("n", "wrong", "right"))).alias("may"))
+    held = _same(texts, may, [group, "block"], "inner").select(group, "block", F.explode(F.filter("may", lambda x: F.contains("_text", x["wrong"]))).alias("x"))
+    todo = held.groupBy(group, "block").agg(F.sort_array(F.collect_set("x")).alias("_todo"))
+    fold = F.aggregate("_todo", F.col(text), lambda acc, x: F.when(F.contains(acc, x["wrong"]), X.replace_guarded(acc, x["wrong"], x["right"])).otherwise(acc))
+    return _same(src, todo, [group, "block"], "left").withColumn("corrected", F.when(F.col("_todo").isNotNull(), fold).otherwise(F.col(text))).drop("_todo", "_row")

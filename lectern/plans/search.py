@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.operators import index, search
 from lectern.operators.versions import current_rows
-from lectern.session import shared_dir, staged
+from lectern.session import scratch, staged
 from lectern.sources.tables import table
 
 COLLS = ("course_subs", "course_outline")
@@ -73,7 +71,7 @@ def sparse_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stored_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same from an index that was saved before: only the stored weights of the query's terms are read."""
-    home = f"{shared_dir(spark)}/lectern-index-{uuid.uuid4().hex}"
+    home = scratch(spark, "index")
     docs = staged(_texts(spark, sf_dir), "index-texts")
     index.save(docs, "id", "text", home)
     idfs, weights = index.load(spark, home)

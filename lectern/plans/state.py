@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import os
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -14,7 +12,7 @@ from lectern.operators.versions import current_rows
 from lectern.plans.manifest import ORACLE as MANIFEST_SQL
 from lectern.plans.manifest import catalogue
 from lectern.plans.transcripts import sentence_rows
-from lectern.session import shared_dir
+from lectern.session import scratch
 from lectern.sources import files, sinks
 from lectern.sources.tables import table
 from lectern.streaming import ingest
@@ -46,7 +44,7 @@ def failed_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _home(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/lectern-{uuid.uuid4().hex}"
+    return scratch(spark, "table")
 
 
 def replace_lesson(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from lectern.operators import chunking, segments
 from lectern.operators.intervals import millis
 from lectern.operators.versions import current_rows
+from lectern.session import scratch
+from lectern.sources import sinks
 from lectern.sources.tables import table
 
 
@@ -23,13 +25,32 @@ def _timed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.withColumn("begin_ms", millis(F.col("begin_sec"))).withColumn("end_ms", millis(F.col("end_sec")))
 
 
-def merge_transcript(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-segment result documents, read as JSON and merged onto the lesson's clock."""
+def _results(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Segments, and the lines of their result files: documents of sentences, of segments without speech, and broken ones."""
     seg = table(spark, sf_dir, "segments").filter("end_sec > start_sec and not isnan(end_sec) and not isnan(start_sec)")
-    seg = seg.select("lesson", "seg_no", millis(F.col("start_sec")).alias("start_ms"))
+    seg = seg.select("lesson", "seg_no", millis(F.col("start_sec")).alias("start_ms")).distinct()
     s = _timed(spark, sf_dir).filter("text is not null and begin_ms is not null").select("lesson", "sent_no", "begin_ms", "end_ms", "text")
     placed = segments.segment_of(s, seg, "lesson").filter("seg_no is not null")
-    return segments.merge_results(segments.results_as_json(placed, "lesson"), "lesson")
+    spoken = segments.results_as_json(placed, "lesson")
+    silent = segments.no_speech(seg.join(spoken, ["lesson", "seg_no", "start_ms"], "left_anti"), "lesson")
+    broken = seg.select("lesson").distinct().select("lesson", F.lit('{"meta": {"segment": "').alias("body"))
+    home = scratch(spark, "results")
+    sinks.write_partitioned(spoken.unionByName(silent).select("lesson", "body").unionByName(broken), home, "lesson", "text")
+    return seg, spark.read.text(home).select(F.col("value").alias("body"))
+
+
+def merge_transcript(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-segment result files, read as JSON, joined to their segments and merged onto the lesson's clock."""
+    seg, bodies = _results(spark, sf_dir)
+    return segments.merge_results(segments.results_of(bodies, seg, "lesson"), "lesson")
+
+
+def segment_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """done or no_speech for every segment that has a result file: neither is tried again."""
+    seg, bodies = _results(spark, sf_dir)
+    r = segments.results_of(bodies, seg, "lesson")
+    silent = F.coalesce(F.from_json("body", segments.ASR_RESULT)["meta"]["no_speech"], F.lit(False))
+    return r.select("lesson", "seg_no", "start_ms", F.when(silent, "no_speech").otherwise("done").alias("status"))
 
 
 def _lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,7 +116,7 @@ def parent_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (merge_transcript, plan_cuts, segment_bounds, get_segment, get_outline, outline_nodes, sub_chunks, assign_nodes, parent_chunks)
+    for f in (merge_transcript, segment_status, plan_cuts, segment_bounds, get_segment, get_outline, outline_nodes, sub_chunks, assign_nodes, parent_chunks)
 }
 
 _SENT = """sent AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY lesson, sent_no ORDER BY recv_at DESC NULLS LAST) AS rn
@@ -137,6 +158,13 @@ ORACLE = {
       s AS (SELECT lesson, sent_no, {_MS.format('begin_sec')} AS b, {_MS.format('end_sec')} AS e, text FROM sent WHERE text IS NOT NULL AND begin_sec IS NOT NULL),
       j AS (SELECT s.*, seg.seg_no FROM s ASOF JOIN seg ON s.lesson = seg.lesson AND s.b >= seg.t)
       SELECT lesson, seg_no, CAST(row_number() OVER (PARTITION BY lesson, seg_no ORDER BY sent_no) - 1 AS INT) AS pos, round(b / 1000.0, 2) AS begin, round(e / 1000.0, 2) AS "end", text FROM j""",
+    "segment_status": f"""WITH {_SENT},
+      v AS (SELECT DISTINCT lesson, seg_no, {_MS.format('start_sec')} AS t FROM segments WHERE end_sec > start_sec),
+      tip AS (SELECT lesson, t, max(seg_no) AS seg_no FROM v GROUP BY 1, 2),
+      s AS (SELECT lesson, {_MS.format('begin_sec')} AS b FROM sent WHERE text IS NOT NULL AND begin_sec IS NOT NULL),
+      d AS (SELECT DISTINCT s.lesson, tip.seg_no, tip.t FROM s ASOF JOIN tip ON s.lesson = tip.lesson AND s.b >= tip.t)
+      SELECT v.lesson, v.seg_no, v.t AS start_ms, CASE WHEN d.t IS NULL THEN 'no_speech' ELSE 'done' END AS status
+      FROM v LEFT JOIN d ON d.lesson = v.lesson AND d.seg_no = v.seg_no AND d.t = v.t""",
     "plan_cuts": _CUTS + " SELECT lesson, cut_ms FROM cuts",
     "segment_bounds": _CUTS
     + """, e AS (SELECT lesson, dur AS end_ms FROM len WHERE dur > 0 UNION ALL SELECT lesson, cut_ms FROM cuts)

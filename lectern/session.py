@@ -55,9 +55,30 @@ def shared_dir(spark: SparkSession) -> str:
     return at
 
 
+#: What this driver wrote and may delete: (session, path).
+_WRITTEN: list[tuple[SparkSession, str]] = []
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, for this driver's own intermediate data."""
+    path = f"{shared_dir(spark)}/lectern-{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append((spark, path))
+    return path
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` into the shared folder and read it back: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/lectern-{name}-{uuid.uuid4().hex}.parquet"
+    path = scratch(df.sparkSession, f"{name}.parquet")
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_staged() -> int:
+    """Delete the intermediate data that this driver wrote; results built on it must have been written or collected before."""
+    done = 0
+    while _WRITTEN:
+        spark, path = _WRITTEN.pop()
+        jvm = spark.sparkContext._jvm
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        done += bool(at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True))
+    return done

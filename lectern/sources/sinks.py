@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lectern.operators.ordered import numbered
 
@@ -48,3 +50,13 @@ def as_json(df: DataFrame, group: str, columns: list[str], order: list[str]) ->
     row = F.struct(*order, F.struct(*columns).alias("_row"))
     rows = F.transform(F.array_sort(F.collect_list(row)), lambda x: x["_row"])
     return df.groupBy(group).agg(F.to_json(rows).alias("body"))
+
+
+def create_if_absent(spark: SparkSession, path: str, schema: StructType) -> bool:
+    """An empty table at ``path``, unless there is one already; whether it was made."""
+    try:
+        spark.read.parquet(path)
+        return False
+    except AnalysisException:
+        spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+        return True

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.session import shared_dir
+from lectern.session import scratch
 
 
 def read_new(spark: SparkSession, path: str, schema, max_files: int = 100) -> DataFrame:
@@ -25,14 +23,14 @@ def run_available(stream: DataFrame, sink: str, checkpoint: str, mode: str = "ap
 
 def ingest(spark: SparkSession, source: str, schema, columns: list[str], home: str | None = None) -> DataFrame:
     """Rows of the source's files, each exactly once, however often it runs with the same ``home``."""
-    home = home or f"{shared_dir(spark)}/lectern-stream-{uuid.uuid4().hex}"
+    home = home or scratch(spark, "stream")
     run_available(read_new(spark, source, schema).select(*columns), f"{home}/rows", f"{home}/checkpoint")
     return spark.read.parquet(f"{home}/rows")
 
 
 def progress(spark: SparkSession, source: str, schema, status: str, value: str, home: str | None = None) -> DataFrame:
     """status, n, total: running counts by status, kept as stream state; every batch overwrites the table (idempotent)."""
-    home = home or f"{shared_dir(spark)}/lectern-stream-{uuid.uuid4().hex}"
+    home = home or scratch(spark, "stream")
     agg = read_new(spark, source, schema).groupBy(F.col(status).alias("status")).agg(F.count("*").alias("n"), F.sum(value).alias("total"))
 
     def put(df: DataFrame, n: int) -> None:

@@ -15,6 +15,15 @@ def spark():
     s.stop()
 
 
+@pytest.fixture(autouse=True)
+def clean():
+    """What a test staged goes with it."""
+    yield
+    from lectern.session import clear_staged
+
+    clear_staged()
+
+
 @pytest.fixture(scope="session")
 def sf():
     return os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
