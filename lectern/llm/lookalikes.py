@@ -280,11 +280,12 @@ def canonical_keys(df: DataFrame, group: str, key: str, text: str = "text") -> D
     """group, id, canonical, raw: hashes of the canonical text and of the text freed of outer white space; no blank or null texts, no null keys."""
     rows, own = repaired_texts(df, text)
     at = {c: own[i] for i, c in enumerate(df.columns)}
+    # read twice, so written first: texts are hashed once
     narrow = rows.filter((F.length("repaired") > 0) & F.col(at[key]).isNotNull()).select(
         F.col(at[group]).alias(group), F.col(at[key]).alias("id"), _hash(F.col("repaired")).alias("canonical"),
         _hash(F.regexp_replace(at[text], r"(?U)^\s+|\s+$", "")).alias("raw"), "look", "n_scripts",
     )
-    return staged(one_form(narrow, "canonical").select(group, "id", "canonical", "raw"), "lookalike-keys")
+    return staged(one_form(staged(narrow, "lookalike-narrow"), "canonical").select(group, "id", "canonical", "raw"), "lookalike-keys")
 
 
 def _looks_of_variants(rows: DataFrame, group: str) -> DataFrame:
