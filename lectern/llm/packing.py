@@ -223,8 +223,8 @@ def _round(pool, capacity, r, groups, islands, epochs, population, generations,
     w = Window.partitionBy("grp").orderBy("_id")  # a group's items are numbered by id
     numbered = pool.withColumn("grp", F.pmod(F.xxhash64("_id", F.lit(r)), F.lit(groups))).withColumn("no", F.row_number().over(w) - 1)
     work = numbered.select("grp", "no", "size", F.explode(F.sequence(F.lit(0), F.lit(islands - 1))).alias("island"))
-    # a group is long work on few bytes: as many tasks as there are islands, within bounds
-    tasks = int(max(1, min(2000, groups * islands)))
+    # a group is long work on few bytes: as many tasks as there are groups, within bounds
+    tasks = int(max(islands, min(2000, groups)))
     work = work.repartition(tasks, "grp", "island")
     came = pool.sparkSession.createDataFrame([], "grp long, island int, `from` int, n_bins int, squares long, labels array<int>")
     best = None
