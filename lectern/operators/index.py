@@ -15,6 +15,11 @@ def term_frequencies(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key), F.explode(terms_of(F.col(text))).alias("term")).groupBy(key, "term").agg(F.count("*").alias("tf"))
 
 
+def document_terms(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """key, term: every document's terms once, for ``idf``; made within a row, without a shuffle."""
+    return docs.select(F.col(key), F.explode(F.array_distinct(terms_of(F.col(text)))).alias("term"))
+
+
 def frequencies_of(docs: DataFrame, key: str, text: str, query_tf: DataFrame) -> DataFrame:
     """``term_frequencies`` of the terms of ``query_tf`` alone: the texts' other terms are dropped where they are read."""
     terms = docs.select(F.col(key), F.explode(terms_of(F.col(text))).alias("term"))

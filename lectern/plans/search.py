@@ -114,21 +114,28 @@ def rrf_hybrid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.fuse([a, b], "id", 6)
 
 
-def _query_points(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
-    """Every twentieth sub-chunk of a lesson, by its number."""
-    return current_rows(table(spark, sf_dir, "course_subs").select("id", "ingested_at", "block_id", column)).filter("block_id % 20 = 0").select("id", column)
+def _query_points(spark: SparkSession, sf_dir: str, column: str, broadcast_rows: int = 200_000) -> DataFrame:
+    """Every twentieth sub-chunk of a lesson, by its number: found by narrow columns, then read."""
+    rows = table(spark, sf_dir, "course_subs").select("id", "ingested_at", column)
+    narrow = current_rows(table(spark, sf_dir, "course_subs").select("id", "ingested_at", "block_id")).filter("block_id % 20 = 0")
+    asked = staged(narrow.select(F.col("id").alias("_id"), F.col("ingested_at").alias("_at")), "query-points")
+    if asked.count() <= broadcast_rows:
+        asked = F.broadcast(asked)
+    # exact repeats of a current row are alike
+    return rows.join(asked, (F.col("id") == F.col("_id")) & F.col("ingested_at").eqNullSafe(F.col("_at")), "left_semi").select("id", column).dropDuplicates(["id"])
 
 
 def _sparse_of_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, tf, idfs = _index(spark, sf_dir)
-    asked = index.term_frequencies(_query_points(spark, sf_dir, "text"), "id", "text").withColumnRenamed("id", "query")
-    return search.sparse_top_k(index.weights(tf, idfs), "id", asked, "query", idfs, 25)
+    docs = staged(_texts(spark, sf_dir), "index-texts")
+    idfs = index.idf(index.document_terms(docs, "id", "text"), docs.count())
+    asked = staged(_query_points(spark, sf_dir, "text").withColumnRenamed("id", "query"), "query-texts")
+    return search.sparse_top_k(docs, "id", "text", asked, "query", idfs, 25)
 
 
 def _dense_of_queries(spark: SparkSession, sf_dir: str, coll: str, k: int) -> DataFrame:
-    points = _usable(current_rows(table(spark, sf_dir, coll).select("id", "ingested_at", "dense")))
-    asked = _usable(_query_points(spark, sf_dir, "dense"))
-    got = search.exact_top_k(points, F.lit(False), "id", "dense", k, queries=asked, dim=1024)
+    points = table(spark, sf_dir, coll).select("id", "ingested_at", "dense").filter("id is not null")
+    asked = staged(_usable(_query_points(spark, sf_dir, "dense")), "query-vectors")
+    got = search.exact_top_k(points, F.lit(False), "id", "dense", k, queries=asked, dim=1024, version="ingested_at")
     return got.select(F.col("key").alias("query"), F.col("near").alias("id"), "score", "rank")
 
 
