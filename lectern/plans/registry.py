@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lectern.plans import intervals, lessons, manifest, search, state, terms, transcripts
+from lectern.plans import intervals, lessons, manifest, points, search, state, terms, transcripts
 
-_MODULES = [intervals, manifest, transcripts, terms, search, state, lessons]
+_MODULES = [intervals, manifest, transcripts, terms, search, state, lessons, points]
 
 
 def queries() -> dict:

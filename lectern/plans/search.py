@@ -172,7 +172,7 @@ QUERIES = {
 } | {f.__name__: f for f in (sparse_search_of_queries, dense_topk_of_queries, outline_topk_of_queries, rrf_hybrid_of_queries, vocab_idf_of_colls, sparse_weights_of_colls)}
 
 _CUR = "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ingested_at DESC NULLS LAST) AS rn FROM {0} WHERE id IS NOT NULL) WHERE rn = 1"
-_INDEX = f"""WITH rec AS (SELECT id, lower(text) AS t FROM ({_CUR.format('course_subs')}) WHERE text IS NOT NULL),
+INDEX_SQL = f"""WITH rec AS (SELECT id, lower(text) AS t FROM ({_CUR.format('course_subs')}) WHERE text IS NOT NULL),
   runs AS (SELECT id, unnest(regexp_extract_all(regexp_replace(t, '([\\x{{4E00}}-\\x{{9FFF}}]+)', ' \\1 ', 'g'), '[\\p{{L}}\\p{{N}}]+')) AS r FROM rec),
   occ AS (SELECT id, r AS term FROM runs WHERE NOT regexp_matches(r, '^[\\x{{4E00}}-\\x{{9FFF}}]') OR length(r) = 1
     UNION ALL SELECT id, unnest(list_transform(range(1, length(r)), lambda i: substr(r, i, 2))) FROM runs WHERE regexp_matches(r, '^[\\x{{4E00}}-\\x{{9FFF}}]') AND length(r) > 1),
@@ -191,19 +191,19 @@ _INDEX = f"""WITH rec AS (SELECT id, lower(text) AS t FROM ({_CUR.format('course
 """
 
 ORACLE = {
-    "vocab_idf": _INDEX + "SELECT term, row_number() OVER (ORDER BY term) - 1 AS idx, df, round(idf, 4) AS idf FROM idf",
-    "sparse_weights": _INDEX + "SELECT id, term, weight FROM w",
-    "sparse_search": _INDEX + "SELECT id, score FROM sp ORDER BY score DESC, id LIMIT 25",
-    "stored_search": _INDEX + "SELECT id, score FROM sp ORDER BY score DESC, id LIMIT 25",
-    "dense_topk": _INDEX + "SELECT id, score FROM ds ORDER BY score DESC, id LIMIT 25",
-    "outline_topk": _INDEX + "SELECT id, round(list_cosine_similarity(v, qv), 5) AS score FROM uo, qv ORDER BY score DESC, id LIMIT 4",
-    "rrf_hybrid": _INDEX + "SELECT id, round(sum(1.0::DOUBLE / (60 + rank)), 6) AS score FROM (SELECT * FROM dl UNION ALL SELECT * FROM sl) GROUP BY id ORDER BY score DESC, id LIMIT 6",
+    "vocab_idf": INDEX_SQL + "SELECT term, row_number() OVER (ORDER BY term) - 1 AS idx, df, round(idf, 4) AS idf FROM idf",
+    "sparse_weights": INDEX_SQL + "SELECT id, term, weight FROM w",
+    "sparse_search": INDEX_SQL + "SELECT id, score FROM sp ORDER BY score DESC, id LIMIT 25",
+    "stored_search": INDEX_SQL + "SELECT id, score FROM sp ORDER BY score DESC, id LIMIT 25",
+    "dense_topk": INDEX_SQL + "SELECT id, score FROM ds ORDER BY score DESC, id LIMIT 25",
+    "outline_topk": INDEX_SQL + "SELECT id, round(list_cosine_similarity(v, qv), 5) AS score FROM uo, qv ORDER BY score DESC, id LIMIT 4",
+    "rrf_hybrid": INDEX_SQL + "SELECT id, round(sum(1.0::DOUBLE / (60 + rank)), 6) AS score FROM (SELECT * FROM dl UNION ALL SELECT * FROM sl) GROUP BY id ORDER BY score DESC, id LIMIT 6",
     "dense_top_of_queries": """WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
       p AS (SELECT a.vec_id, b.vec_id AS near, round(list_cosine_similarity(a.v, b.v), 5) AS score FROM e a JOIN e b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id)
       SELECT vec_id, near, score FROM p QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, CAST(near AS VARCHAR)) <= 10""",
 }
 
-_OF_QUERIES = _INDEX + """, asked AS (SELECT id AS query FROM cs WHERE block_id % 20 = 0),
+_OF_QUERIES = INDEX_SQL + """, asked AS (SELECT id AS query FROM cs WHERE block_id % 20 = 0),
   sqs AS (SELECT query, w.id, round(sum(idf * (1 + ln(tf)) * weight), 4) AS score FROM asked JOIN tf ON tf.id = query JOIN idf USING (term) JOIN w USING (term) GROUP BY 1, 2),
   sqt AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, id) AS rank FROM sqs QUALIFY rank <= 25),
   dq AS (SELECT query, v AS qv FROM asked JOIN us ON us.id = query),
@@ -219,7 +219,7 @@ ORACLE |= {
     "rrf_hybrid_of_queries": _OF_QUERIES + "SELECT query, id, score FROM fused QUALIFY row_number() OVER (PARTITION BY query ORDER BY score DESC, id) <= 6",
 }
 
-_OUTLINE_INDEX = _INDEX + """, orec AS (SELECT id, lower(concat_ws(' ', node_title, array_to_string(terms, ' '))) AS t FROM co),
+_OUTLINE_INDEX = INDEX_SQL + """, orec AS (SELECT id, lower(concat_ws(' ', node_title, array_to_string(terms, ' '))) AS t FROM co),
   oruns AS (SELECT id, unnest(regexp_extract_all(regexp_replace(t, '([\\x{4E00}-\\x{9FFF}]+)', ' \\1 ', 'g'), '[\\p{L}\\p{N}]+')) AS r FROM orec),
   oocc AS (SELECT id, r AS term FROM oruns WHERE NOT regexp_matches(r, '^[\\x{4E00}-\\x{9FFF}]') OR length(r) = 1
     UNION ALL SELECT id, unnest(list_transform(range(1, length(r)), lambda i: substr(r, i, 2))) FROM oruns WHERE regexp_matches(r, '^[\\x{4E00}-\\x{9FFF}]') AND length(r) > 1),

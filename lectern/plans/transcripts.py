@@ -94,7 +94,7 @@ def _subs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunking.sub_chunks(sentence_rows(spark, sf_dir), "lesson")
 
 
-def _titled(spark: SparkSession, sf_dir: str) -> DataFrame:
+def titled_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     nodes = current_rows(table(spark, sf_dir, "course_outline").select("id", "ingested_at", "lesson", "start_sent", "begin_sec", "node_title"))
     return chunking.assign_nodes(_subs(spark, sf_dir), nodes, "lesson")
 
@@ -106,12 +106,12 @@ def sub_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def assign_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The outline title of every sub-chunk."""
-    return _titled(spark, sf_dir).select("lesson", "start_sent", "node_title")
+    return titled_chunks(spark, sf_dir).select("lesson", "start_sent", "node_title")
 
 
 def parent_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parent chunks over the titled sub-chunks."""
-    return chunking.parent_chunks(_titled(spark, sf_dir), "lesson").select("lesson", "start_sent", "n_subs", "n_chars", "node_title", F.md5(F.encode("text", "UTF-8")).alias("text_md5"))
+    return chunking.parent_chunks(titled_chunks(spark, sf_dir), "lesson").select("lesson", "start_sent", "n_subs", "n_chars", "node_title", F.md5(F.encode("text", "UTF-8")).alias("text_md5"))
 
 
 QUERIES = {
@@ -135,7 +135,7 @@ _CUTS = f"""WITH RECURSIVE {_SENT},
     SELECT lesson, dur, coalesce(list_min(list_transform(list_filter(m, lambda x: x >= c0 + 840000 AND x <= c0 + 1200000 AND x < dur),
       lambda x: {{'d': abs(x - c0 - 900000), 'x': x}})).x, c0 + 900000), m FROM run WHERE dur - c0 > 1200000),
   cuts AS (SELECT lesson, c0 AS cut_ms FROM run WHERE c0 > 0)"""
-_SUBS = f"""WITH RECURSIVE {_SENT}, {_OUT},
+SUBS_SQL = f"""WITH RECURSIVE {_SENT}, {_OUT},
   s AS (SELECT lesson, sent_no, begin_sec, end_sec, text, length(text) AS len, right(text, 1) IN ('。','！','？','?','.','!') AS term,
     row_number() OVER (PARTITION BY lesson ORDER BY sent_no) AS k FROM sent WHERE length(text) > 0),
   walk AS (
@@ -177,9 +177,9 @@ ORACLE = {
       r AS (SELECT lesson, brk AS start_sent, lead(brk) OVER (PARTITION BY lesson ORDER BY brk) AS end_sent FROM b)
       SELECT r.lesson, start_sent, r.end_sent, arg_min(s.begin_sec, s.sent_no) FILTER (s.begin_sec IS NOT NULL) AS begin_sec, arg_max(s.end_sec, s.sent_no) FILTER (s.end_sec IS NOT NULL) AS end_sec
       FROM r LEFT JOIN sent s ON s.lesson = r.lesson AND s.sent_no >= start_sent AND s.sent_no < r.end_sent WHERE r.end_sent - start_sent >= 5 GROUP BY 1, 2, 3""",
-    "sub_chunks": _SUBS + " SELECT lesson, start_sent, end_sent, begin_sec, end_sec, n_chars, n_sents, md5(text) AS text_md5 FROM subs",
-    "assign_nodes": _SUBS + " SELECT lesson, start_sent, node_title FROM titled",
-    "parent_chunks": _SUBS
+    "sub_chunks": SUBS_SQL + " SELECT lesson, start_sent, end_sent, begin_sec, end_sec, n_chars, n_sents, md5(text) AS text_md5 FROM subs",
+    "assign_nodes": SUBS_SQL + " SELECT lesson, start_sent, node_title FROM titled",
+    "parent_chunks": SUBS_SQL
     + """, o AS (SELECT *, row_number() OVER (PARTITION BY lesson ORDER BY start_sent) AS i, lead(node_title) OVER (PARTITION BY lesson ORDER BY start_sent) AS nxt FROM titled),
       pw AS (
         SELECT lesson, CAST(0 AS BIGINT) AS i, CAST(0 AS BIGINT) AS size, true AS closed, CAST(0 AS BIGINT) AS p FROM o WHERE i = 1

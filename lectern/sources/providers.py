@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,31 +21,68 @@ def secret(name: str, conf: dict[str, str] | None = None) -> str | None:
 
 
 def hashed_embedding(text: Column, dim: int = 1024) -> Column:
-    """Offline stand-in for an embedding: signed counts of hashed terms, of unit length. JVM only."""
-    from lectern.functions.text import terms_of
-
-    h = F.transform(terms_of(F.coalesce(text, F.lit(""))), lambda t: F.xxhash64(t))
-    at = lambda x: F.pmod(x, F.lit(dim)).cast("int")
-    # sparse first: one entry per slot, then spread over the array
-    slots = F.transform(F.array_distinct(F.transform(h, at)), lambda s: F.struct(s.alias("s"), F.aggregate(F.filter(h, lambda x: at(x) == s), F.lit(0.0), lambda a, x: a + F.when(x < 0, -1.0).otherwise(1.0)).alias("v")))
-    length = F.sqrt(F.aggregate(slots, F.lit(0.0), lambda a, x: a + x["v"] * x["v"]))
-    m = F.map_from_entries(slots)
-    return F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.coalesce(m[i] / F.nullif(length, F.lit(0.0)), F.lit(0.0)).cast("float"))
+    """Offline stand-in for an embedding: signed counts of hashed terms, of unit length; all zero without terms.
 
+    Terms are cut and hashed in the JVM, the counts of a batch are one ``bincount``.
+    """
+    from lectern.functions.text import terms_of
 
-def in_batches(df: DataFrame, column: str, out: str, call: Callable[[list], list], out_type: str, size: int = 10) -> DataFrame:
-    """``df`` and ``out``: what ``call`` gives for lists of at most ``size`` values, in their order."""
+    @F.pandas_udf("array<float>")
+    def counts(hashes: pd.Series) -> pd.Series:
+        out: list = []
+        for at in range(0, len(hashes), 1024):
+            some = [np.asarray(h, np.int64) for h in hashes.iloc[at : at + 1024]]
+            flat = np.concatenate(some)
+            row = np.repeat(np.arange(len(some)), [len(h) for h in some])
+            x = np.bincount(row * dim + flat % dim, np.where(flat < 0, -1.0, 1.0), len(some) * dim).reshape(-1, dim)
+            length = np.linalg.norm(x, axis=1, keepdims=True)
+            out += list((x / np.where(length > 0, length, 1)).astype(np.float32))
+        return pd.Series(out, dtype=object)
+
+    return counts(F.transform(terms_of(F.coalesce(text, F.lit(""))), lambda t: F.xxhash64(t)))
+
+
+def in_batches(df: DataFrame, column: str, out: str, call: Callable[[list], list], out_type: str, size: int = 10, errors: str | None = None) -> DataFrame:
+    """``df`` and ``out``: what ``call`` gives for lists of at most ``size`` values, in their order.
+
+    With ``errors`` a call that raises or gives another number of results fails
+    no task: its values are tried one by one, and those that fail again have a
+    null ``out`` and the message in the column ``errors`` (null elsewhere), so
+    that they can be kept apart and tried later. Without it the task fails.
+    """
+
+    def once(values: list) -> list:
+        got = list(call(values))
+        if len(got) != len(values):
+            raise ValueError(f"{len(got)} results for {len(values)} values")
+        return got
+
+    def alone(value: object) -> tuple:
+        try:
+            return once([value])[0], None
+        except Exception as e:  # noqa: BLE001
+            return None, f"{type(e).__name__}: {e}"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            got: list = []
+            got: list[tuple] = []
             values = b[column].tolist()
             for i in range(0, len(values), size):
-                got += call(values[i : i + size])
-            yield b.assign(**{out: pd.Series(got, index=b.index, dtype=object)})
+                some = values[i : i + size]
+                try:
+                    got += [(x, None) for x in once(some)]
+                except Exception:
+                    if errors is None:
+                        raise
+                    got += [alone(x) for x in some]
+            new = {out: pd.Series([x for x, _ in got], index=b.index, dtype=object)}
+            if errors is not None:
+                new[errors] = pd.Series([e for _, e in got], index=b.index, dtype=object)
+            yield b.assign(**new)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.mapInPandas(run, f"{schema}, `{out}` {out_type}")
+    more = f", `{errors}` string" if errors is not None else ""
+    return df.mapInPandas(run, f"{schema}, `{out}` {out_type}{more}")
 
 
 def numbered(lines: Column) -> Column:

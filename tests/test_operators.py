@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lectern import api
 from lectern.functions import ids, text, times, vector
-from lectern.operators import chunking, index, search, segments, state, terms
+from lectern.operators import chunking, index, points, search, segments, state, terms
 from lectern.operators.versions import current_rows
 from lectern.sources import files, providers, sinks
 
@@ -277,3 +277,53 @@ def test_exact_top_k_of_mixed_lengths(spark):
     for block_rows in (1, 2, 100):
         got = {(r["key"], r["near"]) for r in search.exact_top_k(v, F.lit(True), "id", "v", 20, block_rows=block_rows).collect()}
         assert got == {(f"{a:02d}", f"{b:02d}") for a in range(7) for b in range(7) if a != b}
+
+
+def test_failed_calls_are_kept_apart(spark):
+    def call(values):
+        if any(v is None or v == "bad" for v in values):
+            raise RuntimeError("refused")
+        return [v.upper() for v in values]
+
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(["a", "bad", "b", None, "c", "d"])], "i int, v string").coalesce(1)
+    got = {r["i"]: (r["o"], r["e"]) for r in providers.in_batches(df, "v", "o", call, "string", 3, errors="e").collect()}
+    assert got == {0: ("A", None), 1: (None, "RuntimeError: refused"), 2: ("B", None), 3: (None, "RuntimeError: refused"), 4: ("C", None), 5: ("D", None)}
+    short = providers.in_batches(df.filter("i = 0"), "v", "o", lambda v: [], "string", errors="e").first()
+    assert short["o"] is None and "0 results" in short["e"]
+    assert providers.in_batches(df.filter("i > 9"), "v", "o", call, "string", errors="e").count() == 0
+
+
+def test_points_of_clashing_and_empty_texts(spark, tmp_path):
+    rows = spark.createDataFrame([("L1", 0, "一二三 abc", 1), ("L1", 1, None, 2), ("L2", 0, "", 3), (None, None, "x", 4)], "lesson string, n int, text string, term int")
+    got = points.points_of(rows, F.concat(F.col("lesson"), F.lit(":"), F.col("n")), "text")
+    home = str(tmp_path / "points")
+    assert points.ingest(got, home) and not points.ingest(got.filter("lesson = 'L2'"), home)
+    back = {(r["lesson"], r["n"]): (r["term"], [t["term"] for t in r["sparse"]], len(r["dense"])) for r in spark.read.parquet(home).collect()}
+    assert back == {("L1", 0): (1, ["abc", "一二", "二三"], 1024), ("L1", 1): (2, [], 1024), ("L2", 0): (3, [], 1024)}
+
+
+def test_versions_within_blocks(spark):
+    t = [dt.datetime(2026, 1, d) for d in (1, 2, 3)]
+    v = spark.createDataFrame(
+        [("a", t[0], [1.0, 0.0]), ("a", t[1], [0.0, 1.0]), ("b", None, [0.0, 1.0]), ("b", t[0], [1.0, 1.0]), ("c", t[0], [0.0, 1.0]), ("c", t[2], None), ("d", t[0], [0.0, 0.0]), ("e", t[0], [1.0]), ("f", t[1], [0.0, 2.0]), ("f", t[1], [0.0, 2.0])],
+        "id string, at timestamp_ntz, v array<float>",
+    )
+    q = spark.createDataFrame([("q", [0.0, 3.0]), ("z", [0.0, 0.0]), ("n", None)], "id string, v array<float>")
+    for block_rows in (1, 3, 100):
+        got = [(r["key"], r["near"], r["score"]) for r in search.exact_top_k(v, F.lit(False), "id", "v", 3, block_rows=block_rows, queries=q, dim=2, version="at").orderBy("rank").collect()]
+        assert got == [("q", "a", 1.0), ("q", "f", 1.0), ("q", "b", 0.70711)]
+
+
+def test_sparse_top_k_against_brute_force(spark):
+    docs = [("a", "x y y 甲乙丙"), ("b", "x z"), ("c", ""), ("d", None), ("e", "y 甲乙"), ("f", "y 甲乙")]
+    d = spark.createDataFrame(docs, "id string, text string")
+    q = spark.createDataFrame([("1", "Y 甲乙 unknown"), ("2", ""), ("3", None), ("4", "z x z")], "query string, text string")
+    idfs = index.idf(index.document_terms(d.filter("text is not null"), "id", "text"), 5)
+    tf = index.term_frequencies(d, "id", "text")
+    want = set()
+    for name in "1234":
+        asked = index.term_frequencies(q.filter(F.col("query") == name), "query", "text").select("term", "tf")
+        want |= {(name, r["id"], r["score"]) for r in search.top(search.sparse_scores(index.weights(tf, idfs), "id", asked, idfs), "id", 2).collect()}
+    for block_rows in (1, 2, 100):
+        got = {(r["query"], r["id"], r["score"]) for r in search.sparse_top_k(d, "id", "text", q, "query", idfs, 2, block_rows=block_rows).collect()}
+        assert got == want and len(got) == 4
